@@ -24,6 +24,7 @@ _METACHARACTERS = re.compile(r"[\\^$.|?*+()\[\]{}]")
 # Fields are searched as one text. Keywords hold no line break, so none can
 # match across two fields, and a field's edge stays a word boundary.
 _FIELD_BREAK = "\n"
+_NOT_WORD = "(?U)\\W+"
 
 
 def check_keyword(keyword: str) -> str:
@@ -39,35 +40,73 @@ def word_pattern(keywords: Sequence[str]) -> str:
     return f"(?U:\\b)(?{fold}:{'|'.join(keywords)})(?U:\\b)"
 
 
-def _haystack(df: DataFrame, text: Sequence[str]) -> Column:
-    return F.concat_ws(_FIELD_BREAK, *[F.col(c) for c in text])
+# The one character whose lower case is a letter a-z: texts that hold it are
+# always checked with the pattern, which folds ASCII letters only.
+_KELVIN = "\u212a"
 
 
-def _tag_inline(
-    df: DataFrame, groups: list[tuple[str, list[str]]], text: Sequence[str], label: str,
-    carry: Sequence[str], distinct: bool, default: str | None,
-) -> DataFrame:
-    """One pass, no shuffle: test each label on each row, explode those that hit.
+def _searchable(df: DataFrame, text: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Add ``_text``, ``_words`` and ``_odd`` to the given columns.
 
-    A byte search on the lower-cased text screens out nearly all keywords before
-    a pattern is tried. The screen cannot miss: a match is the keyword up to
-    case, so the lower-cased text contains the lower-cased keyword.
+    ``_words`` is the lower-cased text with each run of other characters as one
+    space, and a space at both ends. A keyword that is one word occurs as a
+    whole word exactly if ``_words`` contains it between spaces, which is a byte
+    search; the boundaries are found once per text and not once per keyword.
     """
-    texts = df.select(*carry, _haystack(df, text).alias("_text"))
-    screened = texts.withColumn("_lower", F.lower("_text"))
+    whole = F.concat_ws(_FIELD_BREAK, *[F.col(c) for c in text])
+    texts = df.select(*columns, whole.alias("_text"))
+    words = F.regexp_replace(F.lower("_text"), _NOT_WORD, " ")
+    return texts.withColumns(
+        {
+            "_words": F.concat(F.lit(" "), words, F.lit(" ")),
+            "_odd": F.contains("_text", F.lit(_KELVIN)),
+        }
+    )
+
+
+def _as_words(keyword: str) -> str:
+    return " ".join(re.findall(r"\w+", keyword.lower()))
+
+
+def _hit(keywords: list[str]) -> Column:
+    """Does any of the keywords occur? Only compound ones need the pattern, and then rarely."""
 
-    def hit(keywords: list[str]) -> Column:
-        seen = reduce(lambda a, b: a | b, [F.contains("_lower", F.lit(k.lower())) for k in keywords])
-        return seen & F.col("_text").rlike(word_pattern(keywords))
+    def seen(some: list[str]) -> Column:
+        return reduce(
+            lambda a, b: a | b, [F.contains("_words", F.lit(f" {_as_words(k)} ")) for k in some]
+        )
 
-    labels = F.array_compact(F.array(*[F.when(hit(kws), F.lit(name)) for name, kws in groups]))
+    def matched(some: list[str]) -> Column:
+        return F.col("_text").rlike(word_pattern(some))
+
+    single = [k for k in keywords if re.fullmatch(r"\w+", k)]
+    compound = [k for k in keywords if k not in single]
+    hits = []
+    if single:
+        hits.append(seen(single) & (~F.col("_odd") | matched(single)))
+    if compound:
+        hits.append(seen(compound) & matched(compound))
+    return reduce(lambda a, b: a | b, hits)
+
+
+def _tag_inline(
+    df: DataFrame, groups: list[tuple[str, list[str]]], text: Sequence[str], label: str,
+    carry: Sequence[str], distinct: bool, default: str | None,
+) -> DataFrame:
+    """One pass, no shuffle: test each label on each row, explode those that hit."""
+    labels = F.array_compact(F.array(*[F.when(_hit(kws), F.lit(name)) for name, kws in groups]))
     if distinct:
         labels = F.array_distinct(labels)
-    found = screened.select(*carry, labels.alias("_labels"))
+    found = _searchable(df, text, carry).select(*carry, labels.alias("_labels"))
     if default is not None:
         some = F.when(F.size("_labels") == 0, F.array(F.lit(default))).otherwise(F.col("_labels"))
         found = found.withColumn("_labels", some)
-    return found.select(*carry, F.explode("_labels").alias(label))
+    # A plain explode makes Catalyst infer a filter on the array's size, which it
+    # pushes down to the scan with every expression above written out in it: the
+    # whole search would run once more per keyword. The outer form infers none.
+    return found.select(*carry, F.explode_outer("_labels").alias(label)).where(
+        F.col(label).isNotNull()
+    )
 
 
 def _tag_by_word(
@@ -76,29 +115,34 @@ def _tag_by_word(
 ) -> DataFrame:
     """Equi-join the distinct words of each row to the first word of each keyword.
 
-    The first run of word characters in a keyword is a whole word wherever the
-    keyword matches, so no match is lost; keywords of more than one word are
-    then checked against the text. With a small taxonomy the words stream
-    through a broadcast join and the text is never copied. With a large one only
-    (key, word) pairs are shuffled, and candidates fetch their text by key.
+    The first word in a keyword is a whole word wherever the keyword matches,
+    so no match is lost; keywords of more than one word are then checked
+    against the text. With a small taxonomy the words stream through a broadcast
+    join and the text is never copied. With a large one only (key, word) pairs
+    are shuffled, and candidates fetch their text by key.
     """
-    first_word = F.regexp_extract(F.lower("_keyword"), "(?U)\\w+", 0)
-    keywords = taxonomy.withColumn("_word", first_word)
+    keyword_words = F.trim(F.regexp_replace(F.lower("_keyword"), _NOT_WORD, " "))
     fold = F.when(is_ascii("_keyword"), F.lit("i")).otherwise(F.lit("iu"))
-    pattern = F.concat(
-        F.lit("(?U:\\b)(?"), fold, F.lit(":"), F.col("_keyword"), F.lit(")(?U:\\b)")
+    keywords = taxonomy.select(
+        "_label",
+        F.substring_index(keyword_words, " ", 1).alias("_word"),
+        (keyword_words == F.lower("_keyword")).alias("_plain"),
+        (F.instr(keyword_words, F.lit(" ")) == 0).alias("_single"),
+        F.concat(
+            F.lit("(?U:\\b)(?"), fold, F.lit(":"), F.col("_keyword"), F.lit(")(?U:\\b)")
+        ).alias("_pattern"),
     )
-    # The Kelvin sign is the one character whose lower case is a letter a-z.
-    whole = (F.lower("_keyword") == F.col("_word")) & ~F.col("_text").contains("\u212a")
-    confirmed = whole | F.regexp_like("_text", pattern)
-    texts = df.select(*carry, _haystack(df, text).alias("_text"))
-    words = F.explode(F.array_distinct(F.split(F.lower("_text"), "(?U)\\W+"))).alias("_word")
+    texts = _searchable(df, text, carry)
+    words = F.explode_outer(F.array_distinct(F.split(F.trim("_words"), " ", -1))).alias("_word")
+    known = F.col("_plain") & F.col("_single") & ~F.col("_odd")
     if is_small(taxonomy):
-        pairs = texts.select("*", words).join(F.broadcast(keywords), "_word")
+        pairs = texts.select(*carry, "_text", "_odd", words).join(F.broadcast(keywords), "_word")
     else:
         candidates = texts.select(key, words).join(keywords, "_word")
-        pairs = candidates.join(texts, key)
-    matched = pairs.where(confirmed).select(*carry, F.col("_label").alias(label))
+        pairs = candidates.join(texts.select(*carry, "_text", "_odd"), key)
+    matched = pairs.where(known | F.regexp_like("_text", F.col("_pattern"))).select(
+        *carry, F.col("_label").alias(label)
+    )
     if distinct:
         matched = matched.dropDuplicates([key, label])
     if default is None:

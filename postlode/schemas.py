@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 # Salaries arrive as text of any precision; 28 whole and 10 fraction digits.
 SALARY = T.DecimalType(38, 10)
 
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "salary": SALARY,
+    "pct1": T.DecimalType(38, 1),
+    "pct2": T.DecimalType(38, 2),
+    "strings": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``"name type, name type"`` as a schema; needs no session, so modules load without one."""
+    fields = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+
+
 RAW_POSTINGS = _struct(
     "job_id string, payload string, source string, first_seen_at timestamp, last_seen_at timestamp"
 )
@@ -24,24 +41,24 @@ LOAD_RUNS = _struct(
 # so a bad value fails with its own message and not as a silent null.
 SOURCE_A_PAYLOAD = _struct(
     "id string, slug string, epoch string, company string, position string, location string, "
-    "tags array<string>, description string, url string, salary_min string, salary_max string"
+    "tags strings, description string, url string, salary_min string, salary_max string"
 )
 SOURCE_B_PAYLOAD = _struct(
     "id string, url string, title string, company_name string, category string, "
-    "tags array<string>, publication_date string, candidate_required_location string, "
+    "tags strings, publication_date string, candidate_required_location string, "
     "description string"
 )
 
 STAGED = _struct(
     "job_id string, source string, title string, company_name string, location string, "
-    "is_remote boolean, tags array<string>, description string, posting_url string, "
-    "salary_min decimal(38,10), salary_max decimal(38,10), posted_at timestamp, "
+    "is_remote boolean, tags strings, description string, posting_url string, "
+    "salary_min salary, salary_max salary, posted_at timestamp, "
     "source_category string, first_seen_at timestamp, last_seen_at timestamp"
 )
 UNIFIED = _struct(
     "job_id string, source string, title string, company_name string, location string, "
-    "source_location string, is_remote boolean, tags array<string>, description string, "
-    "posting_url string, salary_min decimal(38,10), salary_max decimal(38,10), "
+    "source_location string, is_remote boolean, tags strings, description string, "
+    "posting_url string, salary_min salary, salary_max salary, "
     "posted_at timestamp, source_category string, first_seen_at timestamp, last_seen_at timestamp"
 )
 
@@ -49,7 +66,7 @@ DIM_COMPANY = _struct("company_id string, company_name string")
 DIM_SKILL = _struct("skill_id string, skill_name string, category string, match_keyword string")
 FACT = _struct(
     "job_id string, company_id string, source string, title string, location string, "
-    "is_remote boolean, salary_min decimal(38,10), salary_max decimal(38,10), "
+    "is_remote boolean, salary_min salary, salary_max salary, "
     "posted_at timestamp, posting_url string, first_seen_at timestamp, last_seen_at timestamp, "
     "is_active boolean"
 )
@@ -61,15 +78,15 @@ BRIDGE_REGION = _struct("job_id string, region string")
 BRIDGE_REGION_STORED = _struct("job_id string, region string, is_active boolean")
 SKILL_DEMAND = _struct(
     "skill_id string, skill_name string, category string, postings_count bigint, "
-    "pct_of_active_postings decimal(38,2), all_time_postings_count bigint, "
-    "pct_of_all_postings decimal(38,2)"
+    "pct_of_active_postings pct2, all_time_postings_count bigint, "
+    "pct_of_all_postings pct2"
 )
 REGION_DEMAND = _struct(
-    "region string, postings_count bigint, pct_of_active_postings decimal(38,1)"
+    "region string, postings_count bigint, pct_of_active_postings pct1"
 )
 SKILL_DEMAND_DAILY = _struct(
     "snapshot_date date, skill_id string, skill_name string, category string, "
-    "postings_count bigint, pct_of_active_postings decimal(38,2)"
+    "postings_count bigint, pct_of_active_postings pct2"
 )
 PIPELINE_RUNS = _struct(
     "run_id string, source string, records_fetched int, records_upserted int, "

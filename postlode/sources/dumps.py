@@ -20,7 +20,10 @@ def _whole_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _explode_postings(files: DataFrame, postings: Column) -> DataFrame:
-    return files.select("file", F.posexplode(postings).alias("at", "payload")).select(
+    # The outer form, because a plain explode would have the dump parsed a second
+    # time by the filter Catalyst infers from it.
+    exploded = files.select("file", F.posexplode_outer(postings).alias("at", "payload"))
+    return exploded.where(F.col("at").isNotNull()).select(
         "payload",
         F.struct("file", F.lit(0).cast("long").alias("block"), F.col("at").cast("long")).alias(
             "position"

@@ -1,4 +1,4 @@
-"""Broadcast only what was measured to be small."""
+"""Fit the physical plan to measured sizes: broadcast small sides, spread narrow scans."""
 
 from __future__ import annotations
 
@@ -29,3 +29,13 @@ def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Hint a broadcast for a measured small side; leave any other to a shuffle join."""
     return F.broadcast(df) if is_small(df) else df
+
+
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a file scan that comes in fewer splits than there are cores.
+
+    For scans whose rows are costly to process, such as long texts. Input large
+    enough to fill the cluster is left as it is, so nothing is shuffled at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

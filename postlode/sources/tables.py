@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WHOLE = "all"
-_LOG = T.StructType.fromDDL("version bigint, folders array<struct<part: string, folder: string>>")
+_FOLDER = T.StructType().add("part", T.StringType()).add("folder", T.StringType())
+_LOG = T.StructType().add("version", T.LongType()).add("folders", T.ArrayType(_FOLDER))
 
 
 def _is_missing(error: AnalysisException) -> bool:
