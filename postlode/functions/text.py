@@ -105,9 +105,14 @@ def unescape_html(c: Column | str) -> Column:
 
 
 def contains_any(c: Column | str, words: Iterable[str]) -> Column:
-    """Plain substring test for any of the words."""
-    text = _col(c)
-    return reduce(lambda a, b: a | b, [text.contains(F.lit(w)) for w in words])
+    """Plain substring test for any of the words.
+
+    The text is bound to a lambda variable, so it is computed once per row
+    wherever the test ends up; a filter would compute it once per word.
+    """
+    return F.exists(
+        F.array(_col(c)), lambda text: reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    )
 
 
 def clean_tags(c: Column | str) -> Column:

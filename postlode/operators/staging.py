@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from postlode import fixed_values as fixed
 from postlode import schemas
 from postlode.functions.text import blank_to_null, clean_tags
+from postlode.operators.landing import with_payload
 
 
 def _parsed(raw: DataFrame, schema) -> DataFrame:
-    payload = F.from_json("payload", schema, {"mode": "FAILFAST"}).alias("p")
-    return raw.select("job_id", payload, "first_seen_at", "last_seen_at")
+    return with_payload(raw, schema).select("job_id", "p", "first_seen_at", "last_seen_at")
 
 
 def salary(text) -> F.Column:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlode import fixed_values as fixed
 from postlode import schemas
@@ -25,23 +26,37 @@ logger = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """What is particular to a source. A new source is one more of these."""
+    """What is particular to a source. A new source is one more of these.
+
+    ``keep``, ``key`` and ``clean`` are column rules over the JSON text
+    ``payload`` and its parsed ``fields``, the struct ``p``.
+    """
 
     name: str
     read: Callable[[SparkSession, str], DataFrame]  # -> payload, position
-    keep: Callable[[DataFrame], DataFrame]
+    fields: T.StructType
+    keep: Callable[[], Column]
     key: Callable[[], Column]
     stage: Callable[[DataFrame], DataFrame]
-    clean: Callable[[], Column] = field(default=lambda: F.col("payload"))
+    clean: Callable[[], Column] = lambda: F.col("payload")
 
 
 SOURCE_A = SourceSpec(
-    fixed.SOURCE_A, read_array_dump, landing.keep_source_a, landing.key_source_a,
-    stage_source_a, landing.clean_source_a,
+    name=fixed.SOURCE_A,
+    read=read_array_dump,
+    fields=schemas.SOURCE_A_LANDING,
+    keep=landing.keep_source_a,
+    key=landing.key_source_a,
+    clean=landing.clean_source_a,
+    stage=stage_source_a,
 )
 SOURCE_B = SourceSpec(
-    fixed.SOURCE_B, read_envelope_dump, landing.keep_source_b, landing.key_source_b,
-    stage_source_b,
+    name=fixed.SOURCE_B,
+    read=read_envelope_dump,
+    fields=schemas.SOURCE_B_LANDING,
+    keep=landing.keep_source_b,
+    key=landing.key_source_b,
+    stage=stage_source_b,
 )
 SOURCES = (SOURCE_A, SOURCE_B)
 
@@ -52,7 +67,7 @@ def raw_table(warehouse: Warehouse, source: str) -> Table:
 
 def keyed_batch(spec: SourceSpec, postings: DataFrame) -> DataFrame:
     """Kept postings under their keys. Filter and key see the text as it came; then it is repaired."""
-    return spec.keep(postings).select(
+    return landing.with_payload(postings, spec.fields).where(spec.keep()).select(
         spec.key().alias("job_id"),
         spec.clean().alias("payload"),
         F.lit(spec.name).alias("source"),

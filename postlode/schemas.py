@@ -49,6 +49,13 @@ SOURCE_B_PAYLOAD = _struct(
     "description string"
 )
 
+# Payload fields the landing rules look at.
+SOURCE_A_LANDING = _struct(
+    "id string, slug string, position string, company string, location string, "
+    "description string, tags strings"
+)
+SOURCE_B_LANDING = _struct("id string, category string")
+
 STAGED = _struct(
     "job_id string, source string, title string, company_name string, location string, "
     "is_remote boolean, tags strings, description string, posting_url string, "

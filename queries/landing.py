@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlode import fixed_values as fixed
-from postlode.operators import landing
 from postlode.operators.landing import (
     in_categories,
     is_relevant,
     payload_fields,
     prefixed_key,
     truthy_text,
+    with_payload,
 )
 from postlode.plans.ingest import SOURCE_A, SOURCE_B, keyed_batch
 from queries.registry import AS_OF_EPOCH, corrupt, query
@@ -218,13 +218,12 @@ def landed_postings_b(t):
     SELECT 'remotive', (SELECT count(*) FROM pages), (SELECT count(*) FROM ({POSTINGS_B_SQL}))""")
 def landing_counts(t):
     """What the run log records: postings read before the filter, and postings kept."""
-    return _counts("remoteok", postings_a(t), landing.keep_source_a).unionByName(
-        _counts("remotive", postings_b(t), landing.keep_source_b)
-    )
+    return _counts(SOURCE_A, postings_a(t)).unionByName(_counts(SOURCE_B, postings_b(t)))
 
 
-def _counts(source, postings, keep):
-    kept = keep(postings).agg(F.count(F.lit(1))).scalar()
-    return postings.agg(F.count(F.lit(1)).alias("records_fetched")).select(
-        F.lit(source).alias("source"), "records_fetched", kept.alias("records_upserted")
+def _counts(spec, postings):
+    return with_payload(postings, spec.fields).agg(
+        F.lit(spec.name).alias("source"),
+        F.count(F.lit(1)).alias("records_fetched"),
+        F.count_if(spec.keep()).alias("records_upserted"),
     )
