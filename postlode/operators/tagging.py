@@ -46,65 +46,67 @@ _KELVIN = "\u212a"
 
 
 def _searchable(df: DataFrame, text: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Add ``_text``, ``_words`` and ``_odd`` to the given columns.
-
-    ``_words`` is the lower-cased text with each run of other characters as one
-    space, and a space at both ends. A keyword that is one word occurs as a
-    whole word exactly if ``_words`` contains it between spaces, which is a byte
-    search; the boundaries are found once per text and not once per keyword.
-    """
+    """The given columns with the row's text: ``_text``, ``_lower`` and the ``_odd`` flag."""
     whole = F.concat_ws(_FIELD_BREAK, *[F.col(c) for c in text])
     texts = df.select(*columns, whole.alias("_text"))
-    words = F.regexp_replace(F.lower("_text"), _NOT_WORD, " ")
     return texts.withColumns(
-        {
-            "_words": F.concat(F.lit(" "), words, F.lit(" ")),
-            "_odd": F.contains("_text", F.lit(_KELVIN)),
-        }
+        {"_lower": F.lower("_text"), "_odd": F.contains("_text", F.lit(_KELVIN))}
     )
 
 
-def _as_words(keyword: str) -> str:
-    return " ".join(re.findall(r"\w+", keyword.lower()))
+def _words_in(lower: Column | str) -> Column:
+    return F.split(lower, _NOT_WORD, -1)
+
+
+def _words_of(keyword: str) -> list[str]:
+    return re.findall(r"\w+", keyword.lower())
 
 
 def _hit(keywords: list[str]) -> Column:
-    """Does any of the keywords occur? Only compound ones need the pattern, and then rarely."""
+    """Does any of the keywords occur, given the taxonomy's words ``_found`` in the row?
 
-    def seen(some: list[str]) -> Column:
-        return reduce(
-            lambda a, b: a | b, [F.contains("_words", F.lit(f" {_as_words(k)} ")) for k in some]
-        )
+    A keyword that is one word needs no more than that. A compound one is looked
+    for in the text once all of its words are there.
+    """
 
-    def matched(some: list[str]) -> Column:
-        return F.col("_text").rlike(word_pattern(some))
+    def occurs(keyword: str) -> Column:
+        words = _words_of(keyword)
+        all_found = reduce(
+            lambda a, b: a & b, [F.array_contains("_found", w) for w in dict.fromkeys(words)]
+        )
+        matched = F.col("_text").rlike(word_pattern([keyword]))
+        if words == [keyword.lower()]:
+            return all_found & (~F.col("_odd") | matched)
+        return all_found & F.contains("_lower", F.lit(keyword.lower())) & matched
 
-    single = [k for k in keywords if re.fullmatch(r"\w+", k)]
-    compound = [k for k in keywords if k not in single]
-    hits = []
-    if single:
-        hits.append(seen(single) & (~F.col("_odd") | matched(single)))
-    if compound:
-        hits.append(seen(compound) & matched(compound))
-    return reduce(lambda a, b: a | b, hits)
+    return reduce(lambda a, b: a | b, map(occurs, keywords))
 
 
 def _tag_inline(
     df: DataFrame, groups: list[tuple[str, list[str]]], text: Sequence[str], label: str,
     carry: Sequence[str], distinct: bool, default: str | None,
 ) -> DataFrame:
-    """One pass, no shuffle: test each label on each row, explode those that hit."""
+    """One pass, no shuffle: label each row by the taxonomy's words found in it.
+
+    The row's words are hashed against those of the whole taxonomy at once, so
+    the cost of a text hardly depends on the number of keywords.
+    """
+    taxonomy_words = dict.fromkeys(w for _, kws in groups for k in kws for w in _words_of(k))
+    found = F.array_intersect(
+        _words_in("_lower"), F.array(*[F.lit(w) for w in taxonomy_words]).cast("array<string>")
+    )
+    texts = _searchable(df, text, carry).withColumn("_found", found)
     labels = F.array_compact(F.array(*[F.when(_hit(kws), F.lit(name)) for name, kws in groups]))
     if distinct:
         labels = F.array_distinct(labels)
-    found = _searchable(df, text, carry).select(*carry, labels.alias("_labels"))
+    labelled = texts.select(*carry, labels.alias("_labels"))
     if default is not None:
         some = F.when(F.size("_labels") == 0, F.array(F.lit(default))).otherwise(F.col("_labels"))
-        found = found.withColumn("_labels", some)
+        labelled = labelled.withColumn("_labels", some)
     # A plain explode makes Catalyst infer a filter on the array's size, which it
     # pushes down to the scan with every expression above written out in it: the
     # whole search would run once more per keyword. The outer form infers none.
-    return found.select(*carry, F.explode_outer("_labels").alias(label)).where(
+    return labelled.select(*carry, F.explode_outer("_labels").alias(label)).where(
         F.col(label).isNotNull()
     )
 
@@ -133,7 +135,7 @@ def _tag_by_word(
         ).alias("_pattern"),
     )
     texts = _searchable(df, text, carry)
-    words = F.explode_outer(F.array_distinct(F.split(F.trim("_words"), " ", -1))).alias("_word")
+    words = F.explode_outer(F.array_distinct(_words_in("_lower"))).alias("_word")
     known = F.col("_plain") & F.col("_single") & ~F.col("_odd")
     if is_small(taxonomy):
         pairs = texts.select(*carry, "_text", "_odd", words).join(F.broadcast(keywords), "_word")
@@ -182,16 +184,15 @@ def tag(
             check_keyword(row["_keyword"])
         return _tag_by_word(df, rows, text, label, key, carried, distinct, default)
 
-    groups: list[tuple[str, list[str]]] = []
+    if not head:
+        none = F.lit(default).cast("string").alias(label)
+        return df.select(*carried, none).where(none.isNotNull())
+    groups = [(row["_label"], [check_keyword(row["_keyword"])]) for row in head]
     if distinct:
         by_label: dict[str, list[str]] = {}
-        for row in head:
-            by_label.setdefault(row["_label"], []).append(check_keyword(row["_keyword"]))
+        for name, keywords in groups:
+            by_label.setdefault(name, []).extend(keywords)
         groups = list(by_label.items())
-    else:
-        groups = [(row["_label"], [check_keyword(row["_keyword"])]) for row in head]
-    if not groups:
-        groups = [(None, [])]
     return _tag_inline(df, groups, text, label, carried, distinct, default)
 
 

@@ -39,10 +39,13 @@ def build_session(app_name: str = "postlode", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def use_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; ``fallback`` only if it names none."""
+def use_checkpoint_dir(spark: SparkSession, fallback: str | None) -> str:
+    """The shared ``spark.checkpoint.dir`` of the cluster; ``fallback`` only if it names none."""
     context = spark.sparkContext
-    named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or fallback)
-    return named or fallback
+    folder = context.getCheckpointDir()
+    if folder is None:
+        folder = context.getConf().get("spark.checkpoint.dir") or fallback
+        if folder is None:
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(folder)
+    return folder

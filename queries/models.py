@@ -20,6 +20,7 @@ from queries.registry import (
     micros,
     query,
     share_sql,
+    stored,
     values_sql,
 )
 
@@ -166,9 +167,9 @@ def translate_locations(t):
     customers = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", place.alias("source_location")
     )
-    known = t.seed(
-        [("ΝΑΤΙΟΝ_2", "Nation Two"), ("ΝΑΤΙΟΝ_12", "Nation Twelve")],
-        "source_location string, location_en string",
+    known = seed_table(
+        t.spark, [("ΝΑΤΙΟΝ_2", "Nation Two"), ("ΝΑΤΙΟΝ_12", "Nation Twelve")],
+        schemas.TRANSLATION_SEED,
     )
     return translate_location(customers, known).select("c_custkey", "source_location", "location")
 
@@ -453,7 +454,8 @@ def region_demand(t):
     FROM ({SKILL_IDS_SQL}) s LEFT JOIN counts USING (skill_id), totals""")
 def posting_skill_demand(t):
     """From raw payloads of two sources to skill demand."""
-    postings = marts.with_activity_flag(unified(t), PARAMS)
+    flagged = marts.with_activity_flag(unified(t), PARAMS)
+    postings = stored(flagged.select("job_id", "description", "tags", "is_active"))
     pairs = marts.bridge_job_skill(postings, skills(t))
     return _demand_view(marts.skill_demand(skills(t), pairs, postings))
 
@@ -472,6 +474,8 @@ def posting_skill_demand(t):
     FROM counts, total""")
 def posting_region_demand(t):
     """From raw payloads of two sources to demand by region."""
-    fact = marts.fact_postings(unified(t), PARAMS)
+    fact = stored(
+        marts.fact_postings(unified(t), PARAMS).select("job_id", "location", "is_active")
+    )
     pairs = marts.bridge_job_region(fact, regions(t), PARAMS)
     return marts.region_demand(pairs, fact).withColumns(as_double("pct_of_active_postings"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlode.params import Params
-from postlode.session import use_result_settings
+from postlode.session import use_checkpoint_dir, use_result_settings
 from postlode.sources.small import spread_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,8 +58,16 @@ class Tables:
         zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
 
-    def seed(self, rows: list[tuple], ddl: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, ddl)
+
+def stored(df: DataFrame) -> DataFrame:
+    """Store a costly intermediate once, as a build stores its models, for several readers.
+
+    It goes to the shared folder the session names in ``spark.checkpoint.dir``.
+    """
+    spark = df.sparkSession
+    local = spark.sparkContext.master.startswith("local")
+    use_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp") if local else None)
+    return df.checkpoint()
 
 
 def micros(c: str) -> Column:

@@ -21,6 +21,22 @@ def spark():
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def folder():
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+@pytest.fixture
+def one(spark):
+    """Value of a column expression over one row of named values."""
+
+    def evaluate(expression, schema="s string", *values):
+        row = spark.createDataFrame([tuple(values)], schema)
+        return row.select(expression.alias("r")).first().r
+
+    return evaluate
