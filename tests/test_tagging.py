@@ -12,23 +12,16 @@ KEYWORDS = ["java", "us", "usa", "ci/cd", "data lake", "data", "lake data", "fü
 
 
 def brute_force(rows, taxonomy):
-    """Whole-word search by hand: ASCII letters fold to ASCII only."""
-    pairs = []
-    for key, *texts in rows:
-        for label, keyword in taxonomy:
-            pattern = rf"(?<!\w){re.escape(keyword)}(?!\w)"
-            flags = re.I | (re.A if False else 0)
-            hit = False
-            for t in texts:
-                if t is None:
-                    continue
-                for m in re.finditer(pattern, t, flags):
-                    if keyword.isascii() and not m.group().isascii():
-                        continue
-                    hit = True
-            if hit:
-                pairs.append((key, label))
-    return sorted(pairs)
+    """Whole-word search by hand. A letter a-z in a keyword stands for itself and its capital only."""
+
+    def occurs(keyword, text):
+        found = re.finditer(rf"(?<!\w){re.escape(keyword)}(?!\w)", text or "", re.I)
+        return any(m.group().isascii() or not keyword.isascii() for m in found)
+
+    return sorted(
+        (key, label) for key, *texts in rows for label, keyword in taxonomy
+        if any(occurs(keyword, t) for t in texts)
+    )
 
 
 def random_rows(n, seed):

@@ -80,7 +80,7 @@ def test_mojibake_and_script_tests(one):
 
 def test_surrogate_key_ignores_case_and_outer_spaces(one):
     keys = {one(text.surrogate_key("s"), "s string", v) for v in ["ACME", "Acme", " acme "]}
-    assert keys == {"533d1fd91ba82bd0e1fdf6d1cc8eb2b0"} or len(keys) == 1
+    assert len(keys) == 1
 
 
 def test_html_is_unescaped_once(one):
