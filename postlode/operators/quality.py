@@ -38,23 +38,32 @@ class Check:
 
 
 @dataclass(frozen=True)
-class NotNullChecks:
-    """One not-null check per column, all counted in a single pass over the table."""
+class Rule:
+    """A condition that no row of a table may meet."""
 
-    table: str
-    df: DataFrame
-    columns: Sequence[str]
+    name: str
+    violated: Column
     severity: str = ERROR
 
+
+@dataclass(frozen=True)
+class RowChecks:
+    """All rules about single rows of one table, counted in a single pass over it."""
+
+    df: DataFrame
+    rules: Sequence[Rule]
+
     def summary(self) -> DataFrame:
-        counted = self.df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in self.columns])
+        counted = self.df.agg(
+            *[F.count_if(r.violated).alias(f"_{i}") for i, r in enumerate(self.rules)]
+        )
         rows = [
             F.struct(
-                F.lit(f"not_null_{self.table}_{c}").alias("check"),
-                F.lit(self.severity).alias("severity"),
-                F.col(c).alias("failures"),
+                F.lit(r.name).alias("check"),
+                F.lit(r.severity).alias("severity"),
+                F.col(f"_{i}").alias("failures"),
             )
-            for c in self.columns
+            for i, r in enumerate(self.rules)
         ]
         return counted.select(F.inline(F.array(*rows)))
 
@@ -76,10 +85,14 @@ def nulls(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
+def not_accepted(column: str, values: Sequence[str]) -> Column:
+    return F.col(column).isNotNull() & ~F.col(column).isin(list(values))
+
+
 def unaccepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Values outside the list, with their count. NULLs pass."""
     return (
-        df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
+        df.where(not_accepted(column, values))
         .groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
@@ -104,25 +117,39 @@ def broken(df: DataFrame, rule_violated: Column) -> DataFrame:
     return df.where(rule_violated)
 
 
-def salary_out_of_order(fact: DataFrame) -> DataFrame:
+def salary_reversed() -> Column:
     """Both salaries present and the upper one below the lower one."""
-    return broken(fact, F.col("salary_max") < F.col("salary_min")).select(
-        "job_id", "salary_min", "salary_max"
-    )
+    return F.col("salary_max") < F.col("salary_min")
 
 
-def share_out_of_range(demand: DataFrame) -> DataFrame:
+def salary_out_of_order(fact: DataFrame) -> DataFrame:
+    return broken(fact, salary_reversed()).select("job_id", "salary_min", "salary_max")
+
+
+def share_impossible() -> Column:
     pct = F.col("pct_of_active_postings")
-    return broken(demand, (pct < 0) | (pct > 100)).select("skill_id", "pct_of_active_postings")
+    return (pct < 0) | (pct > 100)
+
+
+def share_out_of_range(demand: DataFrame) -> DataFrame:
+    return broken(demand, share_impossible()).select("skill_id", "pct_of_active_postings")
+
+
+CHECKED_TEXTS = ("title", "company_name", "location")
+
+
+def text_damaged(columns: Sequence[str] = CHECKED_TEXTS) -> Column:
+    """Any of the texts still has mojibake that the repair could not mend."""
+    return reduce(lambda a, b: a | b, [F.coalesce(is_mojibake(c), F.lit(False)) for c in columns])
 
 
 def residual_mojibake(
-    staged: Sequence[DataFrame], columns: Sequence[str] = ("title", "company_name", "location")
+    staged: Sequence[DataFrame], columns: Sequence[str] = CHECKED_TEXTS
 ) -> DataFrame:
-    """Rows of any staging table with text the repair could not mend."""
-    damaged = reduce(lambda a, b: a | b, [F.coalesce(is_mojibake(c), F.lit(False)) for c in columns])
+    """The damaged rows of all staging tables."""
     return reduce(
-        DataFrame.unionByName, [s.where(damaged).select("job_id", *columns) for s in staged]
+        DataFrame.unionByName,
+        [s.where(text_damaged(columns)).select("job_id", *columns) for s in staged],
     )
 
 
@@ -152,8 +179,12 @@ def unique_check(table: str, df: DataFrame, column: str) -> Check:
     return Check(f"unique_{table}_{column}", duplicates(df, column))
 
 
-def accepted_check(table: str, df: DataFrame, column: str, values: Sequence[str]) -> Check:
-    return Check(f"accepted_values_{table}_{column}", unaccepted(df, column, values))
+def not_null_rules(table: str, columns: Sequence[str]) -> list[Rule]:
+    return [Rule(f"not_null_{table}_{c}", F.col(c).isNull()) for c in columns]
+
+
+def accepted_rule(table: str, column: str, values: Sequence[str]) -> Rule:
+    return Rule(f"accepted_values_{table}_{column}", not_accepted(column, values))
 
 
 def relationship_check(
@@ -182,9 +213,13 @@ def freshness(source: str, raw: DataFrame, params: Params) -> DataFrame:
 # --- running -----------------------------------------------------------------
 
 
-def run_checks(checks: Iterable[Check | NotNullChecks]) -> DataFrame:
-    """One row per check: name, severity, failures, status."""
-    summaries = reduce(DataFrame.unionByName, [c.summary() for c in checks])
+def run_checks(checks: Iterable[Check | RowChecks]) -> DataFrame:
+    """One row per check: name, severity, failures, status. All run as one job.
+
+    A check made of several tables' parts adds them up.
+    """
+    parts = reduce(DataFrame.unionByName, [c.summary() for c in checks])
+    summaries = parts.groupBy("check", "severity").agg(F.sum("failures").alias("failures"))
     failed = F.when(F.col("severity") == ERROR, F.lit("error")).otherwise(F.lit("warn"))
     status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(failed)
     return summaries.withColumn("status", status)

@@ -14,8 +14,10 @@ from postlode.operators.history import append_snapshot, snapshot
 from postlode.operators.quality import (
     WARN,
     Check,
-    NotNullChecks,
-    accepted_check,
+    RowChecks,
+    Rule,
+    accepted_rule,
+    not_null_rules,
     relationship_check,
     unique_check,
 )
@@ -83,43 +85,46 @@ def _publish(warehouse: Warehouse, name: str, df: DataFrame, schema=None) -> Tab
 
 
 def seed_checks(seeds: Seeds) -> list:
+    skills, places, regions = seeds.skills, seeds.translations, seeds.regions
     return [
-        unique_check("skill_keywords", seeds.skills, "skill_name"),
-        unique_check("skill_keywords", seeds.skills, "match_keyword"),
-        NotNullChecks("skill_keywords", seeds.skills, ["skill_name", "match_keyword"]),
-        unique_check("location_translations", seeds.translations, "source_location"),
-        NotNullChecks(
-            "location_translations", seeds.translations, ["source_location", "location_en"]
+        unique_check("skill_keywords", skills, "skill_name"),
+        unique_check("skill_keywords", skills, "match_keyword"),
+        RowChecks(skills, not_null_rules("skill_keywords", ["skill_name", "match_keyword"])),
+        unique_check("location_translations", places, "source_location"),
+        RowChecks(
+            places, not_null_rules("location_translations", ["source_location", "location_en"])
         ),
-        NotNullChecks("region_keywords", seeds.regions, ["match_keyword", "region"]),
+        RowChecks(regions, not_null_rules("region_keywords", ["match_keyword", "region"])),
     ]
 
 
 def raw_checks(name: str, raw: DataFrame) -> list:
     table = f"{name}_jobs"
-    return [unique_check(table, raw, "job_id"), NotNullChecks(table, raw, ["job_id", "payload"])]
+    return [
+        unique_check(table, raw, "job_id"),
+        RowChecks(raw, not_null_rules(table, ["job_id", "payload"])),
+    ]
+
 
+def staging_checks(name: str, raw: DataFrame, staged: DataFrame) -> list:
+    """Staging parses each payload, so all its rules share one pass.
 
-def staging_checks(name: str, staged: DataFrame) -> list:
+    It keeps the rows and keys of the raw table, so uniqueness is read off that.
+    """
     table = f"stg_{name}_jobs"
-    checks = [
-        unique_check(table, staged, "job_id"),
-        NotNullChecks(table, staged, ["job_id", "source", "title"]),
-        accepted_check(table, staged, "source", [name]),
-    ]
+    rules = not_null_rules(table, ["job_id", "source", "title"])
+    rules.append(accepted_rule(table, "source", [name]))
     if name == fixed.SOURCE_B:
-        checks += [
-            NotNullChecks(table, staged, ["source_category"]),
-            accepted_check(table, staged, "source_category", fixed.TECH_CATEGORIES),
-        ]
-    return checks
+        rules += not_null_rules(table, ["source_category"])
+        rules.append(accepted_rule(table, "source_category", fixed.TECH_CATEGORIES))
+    rules.append(Rule("no_mojibake_in_text", quality.text_damaged(), WARN))
+    return [unique_check(table, raw, "job_id"), RowChecks(staged, rules)]
 
 
-def unified_checks(unified: DataFrame, staged: Sequence[DataFrame]) -> list:
+def unified_checks(unified: DataFrame) -> list:
     return [
         unique_check("int_jobs_unioned", unified, "job_id"),
-        NotNullChecks("int_jobs_unioned", unified, ["job_id", "source"]),
-        Check("no_mojibake_in_text", quality.residual_mojibake(staged), WARN),
+        RowChecks(unified, not_null_rules("int_jobs_unioned", ["job_id", "source"])),
         Check("locations_translated", quality.untranslated_locations(unified), WARN),
     ]
 
@@ -130,15 +135,20 @@ def star_checks(
     return [
         unique_check("dim_company", company, "company_id"),
         unique_check("dim_company", company, "company_name"),
-        NotNullChecks("dim_company", company, ["company_id", "company_name"]),
+        RowChecks(company, not_null_rules("dim_company", ["company_id", "company_name"])),
         unique_check("dim_skill", skill, "skill_id"),
         unique_check("dim_skill", skill, "skill_name"),
-        NotNullChecks("dim_skill", skill, ["skill_id", "skill_name"]),
+        RowChecks(skill, not_null_rules("dim_skill", ["skill_id", "skill_name"])),
         unique_check("fact_job_postings", fact, "job_id"),
-        NotNullChecks("fact_job_postings", fact, ["job_id", "source"]),
+        RowChecks(
+            fact,
+            [
+                *not_null_rules("fact_job_postings", ["job_id", "source"]),
+                accepted_rule("fact_job_postings", "source", sources),
+                Rule("salary_range_valid", quality.salary_reversed()),
+            ],
+        ),
         relationship_check("fact_job_postings", fact, "company_id", company, "company_id"),
-        accepted_check("fact_job_postings", fact, "source", sources),
-        Check("salary_range_valid", quality.salary_out_of_order(fact)),
     ]
 
 
@@ -149,9 +159,14 @@ def bridge_checks(
     return [
         relationship_check("bridge_job_skill", skill_pairs, "job_id", fact, "job_id"),
         relationship_check("bridge_job_skill", skill_pairs, "skill_id", skill, "skill_id"),
-        NotNullChecks("bridge_job_region", region_pairs, ["job_id", "region"]),
+        RowChecks(
+            region_pairs,
+            [
+                *not_null_rules("bridge_job_region", ["job_id", "region"]),
+                accepted_rule("bridge_job_region", "region", fixed.REGIONS),
+            ],
+        ),
         relationship_check("bridge_job_region", region_pairs, "job_id", fact, "job_id"),
-        accepted_check("bridge_job_region", region_pairs, "region", fixed.REGIONS),
         Check(
             "locations_have_region",
             quality.locations_without_region(region_pairs, fact, params.default_region),
@@ -161,23 +176,34 @@ def bridge_checks(
 
 
 def demand_checks(demand: DataFrame, by_region: DataFrame) -> list:
+    counts = ["skill_id", "postings_count", "all_time_postings_count"]
     return [
         unique_check("mart_skill_demand", demand, "skill_id"),
-        NotNullChecks(
-            "mart_skill_demand", demand, ["skill_id", "postings_count", "all_time_postings_count"]
+        RowChecks(
+            demand,
+            [
+                *not_null_rules("mart_skill_demand", counts),
+                Rule("skill_demand_percentages_valid", quality.share_impossible()),
+            ],
         ),
-        Check("skill_demand_percentages_valid", quality.share_out_of_range(demand)),
         unique_check("mart_postings_by_region", by_region, "region"),
-        NotNullChecks("mart_postings_by_region", by_region, ["region", "postings_count"]),
+        RowChecks(
+            by_region, not_null_rules("mart_postings_by_region", ["region", "postings_count"])
+        ),
     ]
 
 
 def history_checks(daily: DataFrame, runs: DataFrame) -> list:
     return [
-        NotNullChecks("fct_skill_demand_daily", daily, ["snapshot_date", "skill_id"]),
+        RowChecks(daily, not_null_rules("fct_skill_demand_daily", ["snapshot_date", "skill_id"])),
         unique_check("mart_pipeline_runs", runs, "run_id"),
-        NotNullChecks("mart_pipeline_runs", runs, ["run_id"]),
-        accepted_check("mart_pipeline_runs", runs, "status", fixed.RUN_STATUSES),
+        RowChecks(
+            runs,
+            [
+                *not_null_rules("mart_pipeline_runs", ["run_id"]),
+                accepted_rule("mart_pipeline_runs", "status", fixed.RUN_STATUSES),
+            ],
+        ),
     ]
 
 
@@ -203,14 +229,14 @@ def build_models(
     gate(
         seed_checks(seeds)
         + [c for name, df in raw.items() for c in raw_checks(name, df)]
-        + [c for name, df in staged.items() for c in staging_checks(name, df)]
+        + [c for name, df in staged.items() for c in staging_checks(name, raw[name], df)]
     )
 
     parts = list(staged.values())
     unified = _publish(
         warehouse, "intermediate/int_jobs_unioned", unify(parts, seeds.translations)
     ).read()
-    gate(unified_checks(unified, parts))
+    gate(unified_checks(unified))
 
     company = _publish(warehouse, "marts/dim_company", marts.dim_company(unified)).read()
     skill = _publish(warehouse, "marts/dim_skill", marts.dim_skill(seeds.skills)).read()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from postlode import fixed_values as fixed
 from postlode.operators import quality
-from postlode.operators.quality import WARN, Check, NotNullChecks
+from postlode.operators.quality import WARN, Check, RowChecks, not_null_rules
 from postlode.operators.staging import stage_source_a, stage_source_b
 from queries.landing import PLACES, POSTINGS_A_SQL, POSTINGS_B_SQL, postings_a, raw_a, raw_b
 from queries.models import (
@@ -39,7 +39,7 @@ def check_not_null(t):
         F.nullif("lang", F.lit("en")).alias("lang"), "text",
         F.nullif("source", F.lit("src1")).alias("source"),
     )
-    return NotNullChecks("documents", gaps, ["lang", "text", "source"]).summary()
+    return RowChecks(gaps, not_null_rules("documents", ["lang", "text", "source"])).summary()
 
 
 @query("""
@@ -151,7 +151,7 @@ def check_results(t):
         [
             quality.relationship_check("lineitem", t.lineitem, "l_suppkey", creditors, "s_suppkey"),
             quality.unique_check("orders", t.orders, "o_orderkey"),
-            NotNullChecks("orders", t.orders, ["o_orderkey", "o_custkey"]),
+            RowChecks(t.orders, not_null_rules("orders", ["o_orderkey", "o_custkey"])),
             Check("event_types_known", quality.unaccepted(t.events, "event_type", ["view", "click"]), WARN),
         ]
     )

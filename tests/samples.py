@@ -79,6 +79,3 @@ def land(spark, folder, a=DUMP_A, b=DUMP_B, now=T0, tag="0") -> Warehouse:
     run_source(warehouse, SOURCE_A, dump(folder, f"a{tag}", a), clock=at(now))
     run_source(warehouse, SOURCE_B, dump(folder, f"b{tag}", b), clock=at(now))
     return warehouse
-
-
-__all__ = ["damage"]

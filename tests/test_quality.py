@@ -3,7 +3,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from postlode.operators import quality
-from postlode.operators.quality import WARN, Check, NotNullChecks, QualityError
+from postlode.operators.quality import WARN, Check, QualityError, RowChecks, not_null_rules
 from postlode.params import Params
 from test_text import damage
 
@@ -25,7 +25,7 @@ def test_not_null(spark):
     df = frame(spark, [("a", None), ("b", "x")], "v string, w string")
     assert rows(quality.nulls(df, "v")) == []
     assert quality.nulls(df, "w").count() == 1
-    got = {r.check: r.failures for r in NotNullChecks("t", df, ["v", "w"]).summary().collect()}
+    got = {r.check: r.failures for r in RowChecks(df, not_null_rules("t", ["v", "w"])).summary().collect()}
     assert got == {"not_null_t_v": 0, "not_null_t_w": 1}
 
 
