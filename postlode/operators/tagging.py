@@ -19,6 +19,8 @@ from postlode.sources.small import is_small
 
 # Up to this many keywords are written into the plan as literals.
 INLINE_KEYWORDS = 200
+# Copies of each keyword in a shuffled join on words.
+WORD_SALTS = 16
 
 _METACHARACTERS = re.compile(r"[\\^$.|?*+()\[\]{}]")
 # Fields are searched as one text. Keywords hold no line break, so none can
@@ -140,7 +142,14 @@ def _tag_by_word(
     if is_small(taxonomy):
         pairs = texts.select(*carry, "_text", "_odd", words).join(F.broadcast(keywords), "_word")
     else:
-        candidates = texts.select(key, words).join(keywords, "_word")
+        # A word may occur in most rows: its rows are spread over salted copies.
+        salt = F.pmod(F.xxhash64(key), F.lit(WORD_SALTS)).alias("_salt")
+        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(WORD_SALTS - 1).cast("bigint")))
+        candidates = (
+            texts.select(key, salt, words)
+            .join(keywords.select("*", salts.alias("_salt")), ["_word", "_salt"])
+            .drop("_salt")
+        )
         pairs = candidates.join(texts.select(*carry, "_text", "_odd"), key)
     matched = pairs.where(known | F.regexp_like("_text", F.col("_pattern"))).select(
         *carry, F.col("_label").alias(label)

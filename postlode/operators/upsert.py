@@ -8,12 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlode.sources.small import broadcast_if_small
 from postlode.sources.tables import Table
 
-# Batch keys up to this many rows are broadcast to find the parts they touch;
-# a key is a short text, so this bounds the broadcast at some 100 MB.
-BROADCAST_KEYS = 1_000_000
-
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], *order: Column
@@ -63,7 +60,7 @@ def upsert(
     return joined.select(*[columns[c].alias(c) for c in target.columns])
 
 
-def upsert_table(table: Table, batch: DataFrame, batch_rows: int, now: datetime) -> None:
+def upsert_table(table: Table, batch: DataFrame, now: datetime) -> None:
     """Upsert a keyed batch into a published table cut by last-seen day.
 
     A batch mostly holds postings seen in the last few runs, so the keys are
@@ -72,9 +69,7 @@ def upsert_table(table: Table, batch: DataFrame, batch_rows: int, now: datetime)
     rest of the table, which grows without end, is neither shuffled nor copied.
     """
     day = F.to_date("last_seen_at")
-    keys = batch.select("job_id")
-    if batch_rows <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
+    keys = broadcast_if_small(batch.select("job_id"))
     touched = (
         table.read().select("job_id", day.alias("day")).join(keys, "job_id", "left_semi")
         .select("day").distinct().collect()  # at most one row per day of history

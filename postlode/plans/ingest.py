@@ -86,7 +86,7 @@ def land_batch(warehouse: Warehouse, spec: SourceSpec, postings: DataFrame, now:
     rows = batch.count()
     if rows:
         last = latest_per_key(batch, ["job_id"], F.col("position")).drop("position")
-        upsert_table(table, last, rows, now)
+        upsert_table(table, last, now)
     return rows
 
 

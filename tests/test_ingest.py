@@ -83,9 +83,10 @@ def test_upsert_updates_keeps_and_inserts(spark, folder):
     assert raw_table(warehouse, "remoteok").parts() == ["2026-08-20", "2026-08-21"]
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 1_000_000])
-def test_rerun_changes_only_last_seen(spark, folder, monkeypatch, broadcast_keys):
-    monkeypatch.setattr(upsert, "BROADCAST_KEYS", broadcast_keys)
+@pytest.mark.parametrize("small", [True, False])
+def test_rerun_changes_only_last_seen(spark, folder, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(upsert, "broadcast_if_small", lambda df: df)
     warehouse = land(spark, folder)
     before = raw(warehouse)
     for later in (T0 + timedelta(hours=1), T0 + 2 * DAY):
