@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,6 +17,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(values: Iterable[str]) -> Column:
+    """A constant array, built in one call; a call per value would slow planning."""
+    return F.expr(f"cast(array({', '.join(map(sql_text, values))}) as array<string>)")
+
+
 def clean_text(c: Column | str) -> Column:
     """Runs of white space become one space; blank becomes NULL."""
     return F.nullif(F.trim(F.regexp_replace(_col(c), fixed.WHITESPACE + "+", " ")), F.lit(""))
@@ -110,8 +119,9 @@ def contains_any(c: Column | str, words: Iterable[str]) -> Column:
     The text is bound to a lambda variable, so it is computed once per row
     wherever the test ends up; a filter would compute it once per word.
     """
+    listed = text_array(words)
     return F.exists(
-        F.array(_col(c)), lambda text: reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+        F.array(_col(c)), lambda text: F.exists(listed, lambda word: F.contains(text, word))
     )
 
 

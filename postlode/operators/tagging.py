@@ -9,12 +9,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlode.functions.text import is_ascii
+from postlode.functions.text import is_ascii, sql_text, text_array
 from postlode.sources.small import is_small
 
 # Up to this many keywords are written into the plan as literals.
@@ -64,24 +63,23 @@ def _words_of(keyword: str) -> list[str]:
     return re.findall(r"\w+", keyword.lower())
 
 
-def _hit(keywords: list[str]) -> Column:
-    """Does any of the keywords occur, given the taxonomy's words ``_found`` in the row?
+def _hit(keywords: list[str]) -> str:
+    """SQL test for any of the keywords, given the taxonomy's words ``_found`` in the row.
 
     A keyword that is one word needs no more than that. A compound one is looked
     for in the text once all of its words are there.
     """
 
-    def occurs(keyword: str) -> Column:
+    def occurs(keyword: str) -> str:
         words = _words_of(keyword)
-        all_found = reduce(
-            lambda a, b: a & b, [F.array_contains("_found", w) for w in dict.fromkeys(words)]
-        )
-        matched = F.col("_text").rlike(word_pattern([keyword]))
+        found = [f"array_contains(_found, {sql_text(w)})" for w in dict.fromkeys(words)]
+        matched = f"_text RLIKE {sql_text(word_pattern([keyword]))}"
         if words == [keyword.lower()]:
-            return all_found & (~F.col("_odd") | matched)
-        return all_found & F.contains("_lower", F.lit(keyword.lower())) & matched
+            return f"({found[0]} AND (NOT _odd OR {matched}))"
+        contained = f"contains(_lower, {sql_text(keyword.lower())})"
+        return f"({' AND '.join([*found, contained, matched])})"
 
-    return reduce(lambda a, b: a | b, map(occurs, keywords))
+    return " OR ".join(map(occurs, keywords))
 
 
 def _tag_inline(
@@ -94,11 +92,11 @@ def _tag_inline(
     the cost of a text hardly depends on the number of keywords.
     """
     taxonomy_words = dict.fromkeys(w for _, kws in groups for k in kws for w in _words_of(k))
-    found = F.array_intersect(
-        _words_in("_lower"), F.array(*[F.lit(w) for w in taxonomy_words]).cast("array<string>")
-    )
+    found = F.array_intersect(_words_in("_lower"), text_array(taxonomy_words))
     texts = _searchable(df, text, carry).withColumn("_found", found)
-    labels = F.array_compact(F.array(*[F.when(_hit(kws), F.lit(name)) for name, kws in groups]))
+    # Written as SQL text: thousands of column calls would take longer than small jobs do.
+    tests = [f"CASE WHEN {_hit(kws)} THEN {sql_text(name)} END" for name, kws in groups]
+    labels = F.array_compact(F.expr(f"array({', '.join(tests)})"))
     if distinct:
         labels = F.array_distinct(labels)
     labelled = texts.select(*carry, labels.alias("_labels"))
@@ -181,7 +179,10 @@ def tag(
     rows that match nothing; without it they are absent. ``key`` is unique.
     """
     carried = [key, *carry]
-    rows = taxonomy.select(F.col(label).alias("_label"), F.col(keyword).alias("_keyword")).where(
+    named = F.coalesce(
+        F.col(label).cast("string"), F.raise_error(F.lit(f"taxonomy row without {label}")).cast("string")
+    )
+    rows = taxonomy.select(named.alias("_label"), F.col(keyword).alias("_keyword")).where(
         "_keyword IS NOT NULL"
     )
     head = rows.limit(INLINE_KEYWORDS + 1).collect()

@@ -22,6 +22,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # INT96, the default, carries no statistics, so no filter could skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Recording the call site of every column call makes planning several times slower.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
