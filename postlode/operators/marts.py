@@ -106,8 +106,9 @@ def skill_demand(dim: DataFrame, pairs: DataFrame, fact: DataFrame) -> DataFrame
 def skill_demand_distinct(dim: DataFrame, pairs: DataFrame, fact: DataFrame) -> DataFrame:
     """``skill_demand`` for pairs that may repeat: counts distinct postings.
 
-    Pairs are made unique first, which a map-side partial pass shrinks, so that
-    no single skill's postings have to be counted in one task.
+    Pairs are made unique first, which spreads over all postings, so that no
+    single skill's postings have to be counted in one task. Pairs that come from
+    ``with_activity`` are already partitioned by posting and are not shuffled again.
     """
     return skill_demand(dim, pairs.dropDuplicates(["job_id", "skill_id"]), fact)
 

@@ -402,8 +402,9 @@ def skill_demand_joined(t):
     FROM counts, totals""")
 def distinct_filtered_counts(t):
     """Distinct orders per brand, open and all, from line items that repeat a pair."""
-    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("job_id"), surrogate_key("p_brand").alias("skill_id")
+    parts = t.part.select("p_partkey", surrogate_key("p_brand").alias("skill_id"))
+    lines = t.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").alias("job_id"), "skill_id"
     )
     orders = t.orders.select(
         F.col("o_orderkey").alias("job_id"), (F.col("o_orderstatus") == "O").alias("is_active")
@@ -411,8 +412,7 @@ def distinct_filtered_counts(t):
     brands = marts.dimension(t.part, "p_brand", "skill_id").select(
         "skill_id", F.col("p_brand").alias("skill_name"), F.lit("brand").alias("category")
     )
-    pairs = marts.with_activity(lines.dropDuplicates(["job_id", "skill_id"]), orders)
-    return _demand_view(marts.skill_demand(brands, pairs, orders))
+    return _demand_view(marts.skill_demand_distinct(brands, marts.with_activity(lines, orders), orders))
 
 
 REGION_DEMAND_SQL = f"""
