@@ -217,11 +217,18 @@ def dim_company(t):
     return marts.dim_company(unified(t))
 
 
-@query(SKILL_IDS_SQL.replace("SELECT md5", "SELECT (SELECT count(*) FROM documents) AS n_documents, md5"))
+@query("""
+    SELECT md5(lower(trim(p_name || ' ' || p_partkey, ' '))) AS skill_id, p_name || ' ' || p_partkey AS skill_name,
+           p_type AS category, lower(p_name) AS match_keyword
+    FROM part""")
 def dim_skill(t):
-    """The skill seed with its keys, beside the number of documents it is looked for in."""
-    n = t.documents.agg(F.count(F.lit(1))).scalar()
-    return skills(t).withColumn("n_documents", n)
+    """A taxonomy with its keys: parts as skills."""
+    seed = t.part.select(
+        F.concat_ws(" ", "p_name", "p_partkey").alias("skill_name"),
+        F.col("p_type").alias("category"),
+        F.lower("p_name").alias("match_keyword"),
+    )
+    return marts.dim_skill(seed)
 
 
 @query(f"""
