@@ -7,7 +7,9 @@ strategies below differ in cost and not in result.
 
 from __future__ import annotations
 
+import itertools
 import re
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +30,20 @@ _FIELD_BREAK = "\n"
 _NOT_WORD = "(?U)\\W+"
 
 
+def _is_word(c: str) -> bool:
+    """The characters of the JVM's Unicode ``\\w``; Python's leaves out combining marks."""
+    kind = unicodedata.category(c)
+    return kind[0] in "LM" or kind in ("Nd", "Nl", "Pc") or c in "\u200c\u200d"
+
+
+def _words_of(keyword: str) -> list[str]:
+    runs = itertools.groupby(keyword.lower(), _is_word)
+    return ["".join(run) for is_word, run in runs if is_word]
+
+
 def check_keyword(keyword: str) -> str:
     """Keywords go into patterns as they are, so they must be plain words."""
-    if _METACHARACTERS.search(keyword) or _FIELD_BREAK in keyword or not re.search(r"\w", keyword):
+    if _METACHARACTERS.search(keyword) or _FIELD_BREAK in keyword or not _words_of(keyword):
         raise ValueError(f"keyword {keyword!r} is blank or holds a pattern character")
     return keyword
 
@@ -59,10 +72,6 @@ def _words_in(lower: Column | str) -> Column:
     return F.split(lower, _NOT_WORD, -1)
 
 
-def _words_of(keyword: str) -> list[str]:
-    return re.findall(r"\w+", keyword.lower())
-
-
 def _hit(keywords: list[str]) -> str:
     """SQL test for any of the keywords, given the taxonomy's words ``_found`` in the row.
 
@@ -188,7 +197,9 @@ def tag(
     head = rows.limit(INLINE_KEYWORDS + 1).collect()
     if len(head) > INLINE_KEYWORDS:
         bad = rows.where(
-            F.col("_keyword").rlike(_METACHARACTERS.pattern) | ~F.col("_keyword").rlike("\\w")
+            F.col("_keyword").rlike(_METACHARACTERS.pattern)
+            | F.col("_keyword").contains(_FIELD_BREAK)
+            | ~F.col("_keyword").rlike("(?U)\\w")
         ).head(1)
         for row in bad:
             check_keyword(row["_keyword"])

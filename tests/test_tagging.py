@@ -70,6 +70,21 @@ def test_regions_are_distinct_and_have_a_default(spark, monkeypatch, strategy):
     ]
 
 
+@pytest.mark.parametrize("strategy", ["inline", "broadcast", "shuffle"])
+def test_words_of_other_scripts_and_combining_marks(spark, monkeypatch, strategy):
+    if strategy != "inline":
+        monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 2)
+    if strategy == "shuffle":
+        monkeypatch.setattr(tagging, "is_small", lambda df: False)
+    keywords = ["cafe\u0301", "cafe", "東京", "m", "الرباط مدينة"]
+    tax = spark.createDataFrame([(k, k) for k in keywords], "label string, match_keyword string")
+    rows = [(1, "un CAFE\u0301 noir"), (2, "cafe noir"), (3, "東京, Japan"), (4, "東京都"), (5, "m² or 5m"),
+            (6, "في الرباط مدينة"), (7, "الرباط، مدينة")]
+    df = spark.createDataFrame(rows, "job_id int, t string")
+    got = sorted(map(tuple, tag(df, tax, text=["t"], label="label").collect()))
+    assert got == [(1, "cafe\u0301"), (2, "cafe"), (3, "東京"), (5, "m"), (6, "الرباط مدينة")]
+
+
 def test_title_is_not_searched_and_null_matches_nothing(spark):
     df = spark.createDataFrame(
         [(1, "sql", None, None), (2, "x", "<b>SQL</b>", None), (3, "x", None, ["sql", None])],
@@ -80,7 +95,7 @@ def test_title_is_not_searched_and_null_matches_nothing(spark):
     assert sorted(r.job_id for r in got.collect()) == [2, 3]
 
 
-@pytest.mark.parametrize("bad", ["c++", ".net", "", "  ", "a|b", "--"])
+@pytest.mark.parametrize("bad", ["c++", ".net", "", "  ", "a|b", "--", "a\nb"])
 @pytest.mark.parametrize("inline", [True, False])
 def test_pattern_characters_are_refused(spark, monkeypatch, bad, inline):
     if not inline:
