@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import compression, line_dedup, simhash
+from postlode.llm import compression, line_dedup, phrase_index, simhash
 from postlode.llm.shared import crc_remainder, use_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ FROM marked GROUP BY doc_id
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_phrase_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in an occurrence of a benchmark window."""
+    return phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
