@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from postlode.llm.shared import batches, byte_texts
+from postlode.llm.shared import batches, byte_texts, stored
 
 # The bound of the fit: so many labelled texts of each class at most, of so many bytes each, those with
 # the smallest hash of the id. One in CURVE_SHARE fits the curve, the others fill the dictionary.
@@ -103,25 +103,37 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0] / scale), float(beta[1])
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> Model:
-    """A model from ``doc_id, text, label`` rows.
+def fit(
+    documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES
+) -> Model:
+    """A model from ``doc_id, text`` and ``doc_id, label`` rows.
 
     At most ``sample_rows`` texts per class reach the driver: the documented bound of the fit.
     The choice follows a hash of the id, so it is the same on every run and for every layout.
+    Ids and lengths alone are shuffled for it.
     """
-    rows = labelled.where("doc_id is not null and label in (0, 1)")
-    fitting = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES)
+    lengths = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes")
+    ).where("doc_id is not null")
+    known = labels.where("label in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "label").distinct()
+    rows = stored(lengths.join(known, "doc_id"), "labelled-ids")
     picked = None
     for label in (0, 1):
         of_class = (
-            fitting.where(F.col("label") == label)
-            .select("doc_id", "label", "text", F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "doc_id", "text")
+            rows.where((F.col("label") == label) & (F.col("n_bytes") <= SAMPLE_TEXT_BYTES))
+            .select("doc_id", "label", F.xxhash64("doc_id").alias("h"))
+            .distinct()
+            .orderBy("h", "doc_id")
             .limit(sample_rows)
         )
         picked = of_class if picked is None else picked.unionByName(of_class)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Twice ``sample_rows`` ids at most are broadcast.
+    picked = texts.join(F.broadcast(picked), "doc_id").where(
+        F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES
+    )
     sample: dict[int, list[bytes]] = {0: [], 1: []}
-    for row in picked.orderBy("h", "doc_id", "text").collect():
+    for row in sorted(picked.collect(), key=lambda r: (r.h, r.doc_id, r.text or "")):
         sample[row.label].append((row.text or "").encode())
     if not sample[0] or not sample[1]:
         n0, n1 = len(sample[0]), len(sample[1])

@@ -28,11 +28,10 @@ SPACES = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def learnt_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with the quality label, of the rows that op8 may learn from."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return documents.where(crc_remainder("doc_id", 5) != 0).join(labels, "doc_id")
+def quality_model(documents: DataFrame, labels: DataFrame) -> compression.Model:
+    """Learnt from the rows that op8 may learn from."""
+    learnt = labels.where(crc_remainder("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    return compression.fit(documents, learnt)
 
 
 KEEP_FROM = 0.3
@@ -42,7 +41,7 @@ KEEP_FROM = 0.3
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of quality label 1 for every document, from compressed sizes."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = compression.fit(learnt_labels(spark, sf_dir))
+    model = quality_model(documents, table(spark, sf_dir, "labels"))
     return compression.score(documents, model).select(
         "doc_id",
         (crc_remainder("doc_id", 5) == 0).alias("held_out"),
