@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 
+from postlode.llm.shared import worker_cache
+
 LENGTH, DATA = 23, 12
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 GENERATOR = 0b110001110101
@@ -19,17 +20,19 @@ def _remainder(word: int) -> int:
     return word
 
 
-@lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Syndromes of the low 12 and of the high 11 bits, and the error pattern of each syndrome."""
-    low = np.array([_remainder(w) for w in range(1 << 12)], np.int32)
-    high = np.array([_remainder(w << 12) for w in range(1 << 11)], np.int32)
-    errors = np.zeros(1 << (LENGTH - DATA), np.int32)
-    for weight in (1, 2, 3):
-        for bits in combinations(range(LENGTH), weight):
-            pattern = sum(1 << b for b in bits)
-            errors[_remainder(pattern)] = pattern
-    return low, high, errors
+    cache = worker_cache()
+    if "golay" not in cache:
+        low = np.array([_remainder(w) for w in range(1 << 12)], np.int32)
+        high = np.array([_remainder(w << 12) for w in range(1 << 11)], np.int32)
+        errors = np.zeros(1 << (LENGTH - DATA), np.int32)
+        for weight in (1, 2, 3):
+            for bits in combinations(range(LENGTH), weight):
+                pattern = sum(1 << b for b in bits)
+                errors[_remainder(pattern)] = pattern
+        cache["golay"] = low, high, errors
+    return cache["golay"]
 
 
 def decode(words: np.ndarray) -> np.ndarray:

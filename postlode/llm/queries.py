@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import compression, line_dedup, phrase_index, simhash
+from postlode.llm import compression, line_dedup, packing, pfor, phrase_index, simhash
 from postlode.llm.shared import crc_remainder, use_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,24 @@ def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_phrase_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in an occurrence of a benchmark window."""
     return phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the block files."""
+    manifest = pfor.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pfor.read_tokens(manifest)
+
+
+@query
+def op6_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of a document in a sequence."""
+    documents = table(spark, sf_dir, "documents")
+    return packing.pack(documents, tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -61,6 +63,11 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker; the package's code is sent to it by value."""
+    return sys.modules.setdefault("_postlode_worker", types.ModuleType("_postlode_worker")).__dict__
+
+
 def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
