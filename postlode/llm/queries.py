@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import compression, line_dedup, packing, pfor, phrase_index, simhash
+from postlode.llm import compression, line_dedup, line_quality, packing, pfor, phrase_index, simhash, warc
 from postlode.llm.shared import crc_remainder, use_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,38 @@ def op6_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of a document in a sequence."""
     documents = table(spark, sf_dir, "documents")
     return packing.pack(documents, tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
+
+
+@query
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives."""
+    manifest = warc.write_archives(warc.page_records(table(spark, sf_dir, "pages")))
+    records = warc.read_archives(manifest).where("gap is null")
+    return records.select(
+        warc.page_number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_number("refers_to").alias("refers_to"),
+    )
+
+
+ORACLES["op1_warc_salvage"] = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM payloads
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
+@query
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of line-first cleaning for every document."""
+    return line_quality.judge(table(spark, sf_dir, "documents")).drop("clean_text")
