@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import compression, line_dedup, line_quality, packing, pfor, phrase_index, simhash, warc
+from postlode.llm import compression, lattice, line_dedup, line_quality, packing, pfor, phrase_index, simhash, warc
 from postlode.llm.shared import crc_remainder, use_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,12 @@ FROM firsts
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of line-first cleaning for every document."""
     return line_quality.judge(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query
+def op3_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add-one and lattice log10 probability of every document."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (crc_remainder("doc_id", 7) == 2).alias("held_out")
+    )
+    return lattice.score(documents, tokenizer_path("piece_bpe_32k.model"))
