@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlode.llm import compression, lattice, line_dedup, line_quality, packing, pfor, phrase_index, simhash, warc
+from postlode.llm import (
+    compression,
+    lattice,
+    line_dedup,
+    line_quality,
+    packing,
+    pfor,
+    phrase_index,
+    simhash,
+    suffix_dedup,
+    warc,
+)
 from postlode.llm.shared import crc_remainder, use_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +162,9 @@ def op3_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", (crc_remainder("doc_id", 7) == 2).alias("held_out")
     )
     return lattice.score(documents, tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op10_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that go as repeats of smaller ids."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
