@@ -395,4 +395,6 @@ def clean_documents(documents: DataFrame, items: DataFrame, window_words: int =
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
     keyed = documents.select(key.alias("doc_id"), "text")
     spoilt = contamination(keyed, items, window_words).where("contaminated").select(F.col("doc_id").alias("_spoilt"))
-    return documents.join(stored(spoilt.distinct(), "contaminated"), key == F.col("_spoilt"), "left_anti")
+    spoilt = stored(spoilt.distinct(), "contaminated")
+    own = F.coalesce(documents["doc_id"].cast("long"), F.xxhash64(documents["text"]))
+    return documents.join(spoilt, own == spoilt["_spoilt"], "left_anti")

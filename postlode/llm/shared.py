@@ -78,6 +78,14 @@ def texts_of(documents: DataFrame, *more: str) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc_remainder(column: str, modulus: int):
     """crc32 of an id as text, modulo ``modulus``; a null id has remainder 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(0))
