@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from postlode.llm import compression, line_dedup, packing, phrase_index, simhash
 from postlode.llm.queries import KEEP_FROM, quality_model, table, tokenizer_path
-from postlode.llm.shared import stored, use_settings
+from postlode.llm.shared import free_name, stored, use_settings
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts; the labels are those of its input's ids."""
     use_settings(spark)
     model = quality_model(docs, table(spark, sf_dir, "labels"))
-    scored = compression.score(docs, model, to="_score")
-    return scored.where(F.col("_score") >= KEEP_FROM).drop("_score")
+    name = free_name(docs, "score")
+    return compression.score(docs, model, to=name).where(F.col(name) >= KEEP_FROM).drop(name)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
