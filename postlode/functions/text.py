@@ -1,14 +1,13 @@
-"""Text rules as column expressions. All but ``unescape_html`` stay in the JVM."""
+"""Text rules as column expressions."""
 
 from __future__ import annotations
 
 import html
+import html.entities
 from collections.abc import Iterable, Mapping
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postlode import fixed_values as fixed
 
@@ -98,19 +97,87 @@ def repair_mojibake(c: Column | str) -> Column:
     return F.when(is_mojibake(text), repaired).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_html(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+# A reference: a number in decimal or hex, or up to 32 signs that may be a name.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_LAST_CODE = 0x10FFFF
+
+
+def _text_map(pairs: Mapping[str, str]) -> Column:
+    """A constant map, built in one call."""
+    rows = (f"{sql_text(k)}, {sql_text(v)}" for k, v in pairs.items())
+    return F.expr(f"map({', '.join(rows)})")
+
+
+def _reference_names() -> dict[str, dict[str, str]]:
+    """HTML's names by first letter, with the semicolon where it is needed."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, value in sorted(html.entities.html5.items()):
+        by_letter.setdefault(name[0], {})[name] = value
+    return by_letter
+
+
+def _by_code(reference: Column) -> Column:
+    """The character of a numeric reference, as HTML reads it."""
+    is_hex = reference.rlike("^&#[xX]")
+    digits = F.regexp_replace(reference, "^&#[xX]?0*|;$", "")
+    # Eight digits and more are beyond the last code in either base.
+    short = F.length(digits) < 8
+    code = F.when(short, F.conv(F.when(digits == "", "0").otherwise(digits), 16, 10).cast("long"))
+    code = F.when(is_hex, code).otherwise(F.when(short, F.coalesce(digits.try_cast("long"), F.lit(0))))
+    # What HTML gives for codes that stand for no character of their own.
+    odd = {
+        n: html.unescape(f"&#{n};")
+        for n in [*range(0x20), *range(0x7F, 0xA0), *range(0xFDD0, 0xFDF0)]
+        + [p * 0x10000 + e for p in range(17) for e in (0xFFFE, 0xFFFF)]
+        if html.unescape(f"&#{n};") != chr(n)
+    }
+    special = F.try_element_at(
+        F.expr(f"map({', '.join(f'{n}L, {sql_text(v)}' for n, v in odd.items())})"), code
+    )
+    none = code.isNull() | (code > _LAST_CODE) | code.between(0xD800, 0xDFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(none, "\ufffd").otherwise(F.coalesce(special, plain))
+
+
+def _by_name(reference: Column) -> Column:
+    """The characters of a named reference; the longest known start of it, or the text itself."""
+    names = _reference_names()
+    tables = F.expr(
+        "map(" + ", ".join(
+            f"{sql_text(letter)}, map({', '.join(f'{sql_text(k)}, {sql_text(v)}' for k, v in rows.items())})"
+            for letter, rows in names.items()
+        ) + ")"
+    )
+    bare = {k: v for rows in names.values() for k, v in rows.items() if not k.endswith(";")}
+    lengths = sorted({len(k) for k in bare}, reverse=True)
+    name = F.substring(reference, 2, 64)
+    whole = F.try_element_at(F.try_element_at(tables, F.substring(name, 1, 1)), name)
+    starts = _text_map(bare)
+    parts = [
+        F.when(
+            F.length(name) > n,
+            F.concat(F.try_element_at(starts, F.substring(name, 1, n)), F.substring(name, n + 1, 64)),
+        )
+        for n in lengths
+    ]
+    return F.coalesce(whole, *parts, reference)
 
 
 def unescape_html(c: Column | str) -> Column:
     """Decode HTML character references once (``&amp;amp;`` gives ``&amp;``).
 
-    Spark has no such function. Only texts that hold an ampersand are sent to
-    Python; the others travel as NULL and keep their own value.
+    Texts without an ampersand are left as they are. The name tables are those of the HTML
+    standard as Python lists them, read while the plan is built.
     """
     text = _col(c)
-    return F.coalesce(_unescape_html(F.when(text.contains("&"), text)), text)
+    found = F.regexp_extract_all(text, F.lit(rf"{_REFERENCE}|[^&]+|&"), F.lit(0))
+    decoded = F.transform(
+        found,
+        lambda p: F.when(p.rlike("^&#[0-9xX]"), _by_code(p))
+        .when(p.startswith("&") & (F.length(p) > 1), _by_name(p))
+        .otherwise(p),
+    )
+    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
 def contains_any(c: Column | str, words: Iterable[str]) -> Column:
