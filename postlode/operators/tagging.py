@@ -1,8 +1,9 @@
 """Tag rows with the labels whose keyword occurs in their text as a whole word.
 
 A keyword matches at Unicode word boundaries, any case, in any of the given
-text columns. Every (row, label) pair of the whole table is found; the two
-strategies below differ in cost and not in result.
+text columns. Every (row, label) pair of the whole table is found. A short taxonomy
+is written into the plan, a long one is joined by words; both give each row
+its list of labels, and what follows is the same.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlode.functions.text import is_ascii, sql_text, text_array
-from postlode.sources.small import is_small
 
 # Up to this many keywords are written into the plan as literals.
 INLINE_KEYWORDS = 200
@@ -91,11 +91,23 @@ def _hit(keywords: list[str]) -> str:
     return " OR ".join(map(occurs, keywords))
 
 
+def _labelled_rows(
+    labelled: DataFrame, label: str, carry: Sequence[str], distinct: bool, default: str | None
+) -> DataFrame:
+    """A row per label of ``_labels``; rows with none get the default, if there is one."""
+    labels = F.array_distinct("_labels") if distinct else F.col("_labels")
+    if default is not None:
+        labels = F.when(F.size("_labels") == 0, F.array(F.lit(default))).otherwise(labels)
+    # A plain explode makes Catalyst infer a filter on the array's size, which it
+    # pushes down to the scan with every expression above written out in it: the
+    # whole search would run once more per keyword. The outer form infers none.
+    return labelled.select(*carry, F.explode_outer(labels).alias(label)).where(F.col(label).isNotNull())
+
+
 def _tag_inline(
-    df: DataFrame, groups: list[tuple[str, list[str]]], text: Sequence[str], label: str,
-    carry: Sequence[str], distinct: bool, default: str | None,
+    df: DataFrame, groups: list[tuple[str, list[str]]], text: Sequence[str], carry: Sequence[str]
 ) -> DataFrame:
-    """One pass, no shuffle: label each row by the taxonomy's words found in it.
+    """One pass, no shuffle: the row's labels by the taxonomy's words found in it.
 
     The row's words are hashed against those of the whole taxonomy at once, so
     the cost of a text hardly depends on the number of keywords.
@@ -106,67 +118,47 @@ def _tag_inline(
     # Written as SQL text: thousands of column calls would take longer than small jobs do.
     tests = [f"CASE WHEN {_hit(kws)} THEN {sql_text(name)} END" for name, kws in groups]
     labels = F.array_compact(F.expr(f"array({', '.join(tests)})"))
-    if distinct:
-        labels = F.array_distinct(labels)
-    labelled = texts.select(*carry, labels.alias("_labels"))
-    if default is not None:
-        some = F.when(F.size("_labels") == 0, F.array(F.lit(default))).otherwise(F.col("_labels"))
-        labelled = labelled.withColumn("_labels", some)
-    # A plain explode makes Catalyst infer a filter on the array's size, which it
-    # pushes down to the scan with every expression above written out in it: the
-    # whole search would run once more per keyword. The outer form infers none.
-    return labelled.select(*carry, F.explode_outer("_labels").alias(label)).where(
-        F.col(label).isNotNull()
-    )
+    return texts.select(*carry, labels.alias("_labels"))
 
 
 def _tag_by_word(
-    df: DataFrame, taxonomy: DataFrame, text: Sequence[str], label: str, key: str,
-    carry: Sequence[str], distinct: bool, default: str | None,
+    df: DataFrame, taxonomy: DataFrame, text: Sequence[str], carry: Sequence[str]
 ) -> DataFrame:
-    """Equi-join the distinct words of each row to the first word of each keyword.
+    """Equi-join the distinct words of each text to the first word of each keyword.
 
     The first word in a keyword is a whole word wherever the keyword matches,
-    so no match is lost; keywords of more than one word are then checked
-    against the text. With a small taxonomy the words stream through a broadcast
-    join and the text is never copied. With a large one only (key, word) pairs
-    are shuffled, and candidates fetch their text by key.
+    so no match is lost; keywords of more than one word, or with other signs,
+    are then checked against the text. A text's candidates depend on nothing but the text, so they
+    come back by its digest: equal texts are searched once, and rows need no key.
     """
     keyword_words = F.trim(F.regexp_replace(F.lower("_keyword"), _NOT_WORD, " "))
     fold = F.when(is_ascii("_keyword"), F.lit("i")).otherwise(F.lit("iu"))
+    plain = (keyword_words == F.lower("_keyword")) & (F.instr(keyword_words, F.lit(" ")) == 0)
+    pattern = F.concat(F.lit("(?U:\\b)(?"), fold, F.lit(":"), F.col("_keyword"), F.lit(")(?U:\\b)"))
+    # A word may occur in most texts: they are spread over salted copies of its keywords.
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(WORD_SALTS - 1).cast("bigint")))
     keywords = taxonomy.select(
-        "_label",
         F.substring_index(keyword_words, " ", 1).alias("_word"),
-        (keyword_words == F.lower("_keyword")).alias("_plain"),
-        (F.instr(keyword_words, F.lit(" ")) == 0).alias("_single"),
-        F.concat(
-            F.lit("(?U:\\b)(?"), fold, F.lit(":"), F.col("_keyword"), F.lit(")(?U:\\b)")
-        ).alias("_pattern"),
+        F.struct(F.col("_label").alias("label"), plain.alias("plain"), pattern.alias("pattern")).alias("_candidate"),
+        salts.alias("_salt"),
     )
-    texts = _searchable(df, text, carry)
+    texts = _searchable(df, text, carry).withColumn("_text_id", F.md5("_text"))
     words = F.explode_outer(F.array_distinct(_words_in("_lower"))).alias("_word")
-    known = F.col("_plain") & F.col("_single") & ~F.col("_odd")
-    if is_small(taxonomy):
-        pairs = texts.select(*carry, "_text", "_odd", words).join(F.broadcast(keywords), "_word")
-    else:
-        # A word may occur in most rows: its rows are spread over salted copies.
-        salt = F.pmod(F.xxhash64(key), F.lit(WORD_SALTS)).alias("_salt")
-        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(WORD_SALTS - 1).cast("bigint")))
-        candidates = (
-            texts.select(key, salt, words)
-            .join(keywords.select("*", salts.alias("_salt")), ["_word", "_salt"])
-            .drop("_salt")
-        )
-        pairs = candidates.join(texts.select(*carry, "_text", "_odd"), key)
-    matched = pairs.where(known | F.regexp_like("_text", F.col("_pattern"))).select(
-        *carry, F.col("_label").alias(label)
+    salt = F.pmod(F.xxhash64("_text_id"), F.lit(WORD_SALTS)).alias("_salt")
+    candidates = (
+        texts.select("_text_id", salt, words)
+        .distinct()
+        .join(keywords, ["_word", "_salt"])
+        .groupBy("_text_id")
+        .agg(F.collect_list("_candidate").alias("_candidates"))
+    )
+    matched = F.filter(
+        F.coalesce("_candidates", F.array().cast(candidates.schema["_candidates"].dataType)),
+        lambda c: (c["plain"] & ~F.col("_odd")) | F.regexp_like(F.col("_text"), c["pattern"]),
+    )
+    return texts.join(candidates, "_text_id", "left").select(
+        *carry, F.transform(matched, lambda c: c["label"]).alias("_labels")
     )
-    if distinct:
-        matched = matched.dropDuplicates([key, label])
-    if default is None:
-        return matched
-    rest = df.select(*carry).join(matched.select(key), key, "left_anti")
-    return matched.unionByName(rest.withColumn(label, F.lit(default)))
 
 
 def tag(
@@ -185,7 +177,8 @@ def tag(
 
     ``text`` names string or string-array columns. ``distinct`` gives each label
     once per row however many of its keywords occur. ``default`` is the label of
-    rows that match nothing; without it they are absent. ``key`` is unique.
+    rows that match nothing; without it they are absent. ``key`` is carried
+    along: each row is tagged by itself, whether its key is NULL or repeated.
     """
     carried = [key, *carry]
     named = F.coalesce(
@@ -203,18 +196,18 @@ def tag(
         ).head(1)
         for row in bad:
             check_keyword(row["_keyword"])
-        return _tag_by_word(df, rows, text, label, key, carried, distinct, default)
-
-    if not head:
-        none = F.lit(default).cast("string").alias(label)
-        return df.select(*carried, none).where(none.isNotNull())
-    groups = [(row["_label"], [check_keyword(row["_keyword"])]) for row in head]
-    if distinct:
-        by_label: dict[str, list[str]] = {}
-        for name, keywords in groups:
-            by_label.setdefault(name, []).extend(keywords)
-        groups = list(by_label.items())
-    return _tag_inline(df, groups, text, label, carried, distinct, default)
+        labelled = _tag_by_word(df, rows, text, carried)
+    elif head:
+        groups = [(row["_label"], [check_keyword(row["_keyword"])]) for row in head]
+        if distinct:
+            by_label: dict[str, list[str]] = {}
+            for name, keywords in groups:
+                by_label.setdefault(name, []).extend(keywords)
+            groups = list(by_label.items())
+        labelled = _tag_inline(df, groups, text, carried)
+    else:
+        labelled = df.select(*carried, F.array().cast("array<string>").alias("_labels"))
+    return _labelled_rows(labelled, label, carried, distinct, default)
 
 
 def region_rows(

@@ -319,6 +319,33 @@ def bridge_large_taxonomy(t):
     )
 
 
+@query(rf"""
+    WITH words AS (SELECT DISTINCT w FROM (
+            SELECT unnest(regexp_split_to_array(lower(text), '{NOT_WORD}+')) AS w FROM benchmark) WHERE w <> ''),
+         places AS (SELECT doc_id, n_chars % 3 = 0 AS is_named, source || ' ' || text AS place FROM documents),
+         seen AS (SELECT DISTINCT doc_id, w[1] AS region FROM (
+            SELECT doc_id, unnest(regexp_split_to_array(lower(place), '{NOT_WORD}+')) AS w FROM places WHERE is_named)
+            JOIN words USING (w))
+    SELECT region, count(*) AS n_documents FROM (
+        SELECT doc_id, region FROM seen
+        UNION ALL
+        SELECT doc_id, 'Unspecified' FROM places WHERE doc_id NOT IN (SELECT doc_id FROM seen))
+    GROUP BY region""")
+def bridge_region_large(t):
+    """Regions by a taxonomy of hundreds of keywords: each once per row, and the default without any.
+
+    A region is a keyword's first letter; two thirds of the rows have no text to search.
+    """
+    words = t.benchmark.select(F.explode(F.split(F.lower("text"), "(?U)\\W+")).alias("match_keyword"))
+    regions_of_words = words.where("match_keyword <> ''").distinct().withColumn(
+        "region", F.substring("match_keyword", 1, 1)
+    )
+    place = F.when(F.col("n_chars") % 3 == 0, F.concat_ws(" ", "source", "text"))
+    places = t.documents.select(F.col("doc_id").alias("job_id"), place.alias("location"))
+    pairs = region_rows(places, regions_of_words, default=fixed.UNSPECIFIED)
+    return pairs.groupBy("region").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 # The customer's market as its location: some name a region, one is NULL.
 PLACES_SQL = """
     SELECT c_custkey AS job_id, c_acctbal >= 0 AS is_active,

@@ -34,12 +34,10 @@ def random_rows(n, seed):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["inline", "broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["inline", "by word"])
 def test_strategies_agree_with_brute_force(spark, monkeypatch, strategy):
     if strategy != "inline":
         monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 2)
-    if strategy == "shuffle":
-        monkeypatch.setattr(tagging, "is_small", lambda df: False)
     rows = random_rows(300, seed=7)
     taxonomy = [(f"L{i}", k) for i, k in enumerate(KEYWORDS)]
     df = spark.createDataFrame(rows, "id int, a string, b string")
@@ -48,12 +46,10 @@ def test_strategies_agree_with_brute_force(spark, monkeypatch, strategy):
     assert sorted(map(tuple, got.collect())) == brute_force(rows, taxonomy)
 
 
-@pytest.mark.parametrize("strategy", ["inline", "broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["inline", "by word"])
 def test_regions_are_distinct_and_have_a_default(spark, monkeypatch, strategy):
     if strategy != "inline":
         monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 2)
-    if strategy == "shuffle":
-        monkeypatch.setattr(tagging, "is_small", lambda df: False)
     regions = spark.createDataFrame(
         [("usa", "NA"), ("us", "NA"), ("emea", "EU"), ("emea", "AF"), ("new mexico", "NA"),
          ("mexico", "LA"), (None, "X")],
@@ -70,12 +66,27 @@ def test_regions_are_distinct_and_have_a_default(spark, monkeypatch, strategy):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["inline", "broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", ["inline", "by word"])
+@pytest.mark.parametrize("distinct", [True, False])
+@pytest.mark.parametrize("default", ["U", None])
+def test_null_and_repeated_keys_are_rows_of_their_own(spark, monkeypatch, strategy, distinct, default):
+    if strategy != "inline":
+        monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 1)
+    rows = [(None, "some sql"), ("b", "sql and query"), ("b", "no match"), ("b", "sql and query"), ("c", None), (None, "x")]
+    df = spark.createDataFrame(rows, "job_id string, t string")
+    tax = spark.createDataFrame([("SQL", "sql"), ("SQL", "query"), ("X", "y z")], "label string, match_keyword string")
+    got = tag(df, tax, text=["t"], label="label", distinct=distinct, default=default)
+    both = 1 if distinct else 2
+    expected = [(None, "SQL")] + [("b", "SQL")] * 2 * both
+    if default:
+        expected += [("b", "U"), ("c", "U"), (None, "U")]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("strategy", ["inline", "by word"])
 def test_words_of_other_scripts_and_combining_marks(spark, monkeypatch, strategy):
     if strategy != "inline":
         monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 2)
-    if strategy == "shuffle":
-        monkeypatch.setattr(tagging, "is_small", lambda df: False)
     keywords = ["cafe\u0301", "cafe", "東京", "m", "الرباط مدينة"]
     tax = spark.createDataFrame([(k, k) for k in keywords], "label string, match_keyword string")
     rows = [(1, "un CAFE\u0301 noir"), (2, "cafe noir"), (3, "東京, Japan"), (4, "東京都"), (5, "m² or 5m"),
