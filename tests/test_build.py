@@ -49,14 +49,14 @@ def test_fact_and_dimensions(built):
     assert models_exist(warehouse)
     fact = {r.job_id: r for r in model(warehouse, "fact_job_postings").collect()}
     assert len(fact) == 5 and all(r.is_active and r.is_remote for r in fact.values())
-    lead = fact["remoteok_701"]
-    assert (lead.salary_min, lead.salary_max) == (Decimal(80000), None)
-    assert fact["remoteok_703"].salary_max == Decimal("90000.5")
-    assert lead.posted_at.isoformat() == "2026-08-15T01:21:40"
-    assert fact["remotive_91"].posted_at.isoformat() == "2026-08-19T12:12:11"
+    lead = fact["remoteok_tern-1"]
+    assert (lead.salary_min, lead.salary_max) == (None, Decimal("61000.25"))
+    assert fact["remoteok_tern-3"].salary_min == Decimal(52000)
+    assert lead.posted_at.isoformat() == "2026-08-17T20:53:20"
+    assert fact["remotive_8101"].posted_at.isoformat() == "2026-08-18T03:04:05"
     companies = {r.company_name: r.company_id for r in model(warehouse, "dim_company").collect()}
-    assert sorted(companies) == ["Blue & Co", "Grey", "Northwind Labs"]
-    assert fact["remotive_92"].company_id == companies["Blue & Co"] == fact["remoteok_703"].company_id
+    assert sorted(companies) == ["Ochre Works", "Tern & Tide", "Umber"]
+    assert fact["remotive_8104"].company_id == companies["Tern & Tide"] == fact["remoteok_tern-3"].company_id
     assert model(warehouse, "dim_skill").count() == 35
 
 
@@ -66,10 +66,10 @@ def test_bridges(built):
     assert skills.columns == ["job_id", "skill_id"]
     per_posting = {r.job_id: r["count"] for r in skills.groupBy("job_id").count().collect()}
     assert per_posting == {
-        "remoteok_701": 7, "remoteok_703": 3, "remotive_91": 5, "remotive_92": 2, "remotive_95": 3,
+        "remoteok_tern-1": 5, "remoteok_tern-3": 3, "remotive_8101": 3, "remotive_8102": 3,
     }
     regions = model(warehouse, "bridge_job_region")
-    assert regions.columns == ["job_id", "region"] and regions.count() == 9
+    assert regions.columns == ["job_id", "region"] and regions.count() == 7
 
 
 def test_skill_demand(built):
@@ -77,21 +77,19 @@ def test_skill_demand(built):
     demand = {r.skill_name: r for r in model(warehouse, "mart_skill_demand").collect()}
     counts = {n: r.postings_count for n, r in demand.items() if r.postings_count}
     assert len(demand) == 35
-    assert counts == {
-        "Python": 4, "SQL": 2, "Apache Airflow": 2, "dbt": 2, "Snowflake": 2, "Kubernetes": 2,
-        "AWS": 1, "PostgreSQL": 1, "Docker": 1, "ETL": 1, "Azure": 1, "Terraform": 1,
-    }
-    assert demand["Python"].pct_of_active_postings == Decimal("80.00")
-    assert demand["ETL"].pct_of_all_postings == Decimal("20.00")
-    assert demand["Git"].pct_of_active_postings == Decimal("0.00")
+    ones = ["Apache Spark", "Apache Kafka", "GCP", "Scala", "MySQL", "Docker", "Java", "BigQuery", "Looker", "dbt", "Git", "CI/CD"]
+    assert counts == {"Terraform": 2, **dict.fromkeys(ones, 1)}
+    assert demand["Terraform"].pct_of_active_postings == Decimal("40.00")
+    assert demand["Java"].pct_of_all_postings == Decimal("20.00")
+    assert demand["Python"].pct_of_active_postings == Decimal("0.00")
 
 
 def test_region_demand(built):
     warehouse, _ = built
     rows = model(warehouse, "mart_postings_by_region").collect()
     assert {r.region: (r.postings_count, r.pct_of_active_postings) for r in rows} == {
-        "Europe": (3, Decimal("60.0")), "North America": (2, Decimal("40.0")),
-        "Latin America": (1, Decimal("20.0")), "Asia-Pacific": (1, Decimal("20.0")),
+        "Europe": (2, Decimal("40.0")), "North America": (1, Decimal("20.0")),
+        "Latin America": (1, Decimal("20.0")), "Middle East": (1, Decimal("20.0")),
         "Worldwide": (1, Decimal("20.0")), "Unspecified": (1, Decimal("20.0")),
     }
 
@@ -127,9 +125,9 @@ def test_dashboard(built):
     assert tuple(reports.headline(fact, demand, status).first()) == (5, 5, 3, 35, "SUCCESS")
     none = reports.latest_run_status(model(warehouse, "mart_pipeline_runs").where("false"))
     assert reports.headline(fact, demand, none).first().last_run == "n/a"
-    assert reports.top_skills(demand, 2).first().skill_name == "Python"
+    assert reports.top_skills(demand, 2).first().skill_name == "Terraform"
     listing = reports.active_listing(fact, model(warehouse, "dim_company")).collect()
-    assert {r.company_name for r in listing} == {"Blue & Co", "Grey", "Northwind Labs"}
+    assert {r.company_name for r in listing} == {"Ochre Works", "Tern & Tide", "Umber"}
 
 
 def test_activity_ages_out_and_history_stays(spark, folder):
@@ -141,9 +139,9 @@ def test_activity_ages_out_and_history_stays(spark, folder):
     past = Params(T0 + 14 * DAY + timedelta(seconds=1))
     build_models(warehouse, past)
     assert model(warehouse, "fact_job_postings").where("is_active").count() == 0
-    python = model(warehouse, "mart_skill_demand").where("skill_name = 'Python'").first()
-    assert (python.postings_count, python.pct_of_active_postings) == (0, None)
-    assert (python.all_time_postings_count, python.pct_of_all_postings) == (4, Decimal("80.00"))
+    terraform = model(warehouse, "mart_skill_demand").where("skill_name = 'Terraform'").first()
+    assert (terraform.postings_count, terraform.pct_of_active_postings) == (0, None)
+    assert (terraform.all_time_postings_count, terraform.pct_of_all_postings) == (2, Decimal("40.00"))
     assert model(warehouse, "mart_postings_by_region").count() == 0
     daily = model(warehouse, "fct_skill_demand_daily")
     days = {str(r.snapshot_date): r["count"] for r in daily.groupBy("snapshot_date").count().collect()}
@@ -154,11 +152,11 @@ def test_same_day_rerun_replaces_by_key(spark, folder):
     warehouse = land(spark, folder)
     build_models(warehouse, Params(T0))
     seeds = default_seeds(spark)
-    fewer = Seeds(seeds.skills.where("skill_name <> 'Python'"), seeds.regions, seeds.translations)
+    fewer = Seeds(seeds.skills.where("skill_name <> 'Terraform'"), seeds.regions, seeds.translations)
     build_models(warehouse, Params(T0 + timedelta(hours=3)), seeds=fewer)
     daily = model(warehouse, "fct_skill_demand_daily")
     assert daily.count() == 35  # the dropped skill keeps its earlier row
-    assert daily.where("skill_name = 'Python'").first().postings_count == 4
+    assert daily.where("skill_name = 'Terraform'").first().postings_count == 2
     assert model(warehouse, "mart_skill_demand").count() == 34
 
 
@@ -172,7 +170,7 @@ def test_an_error_stops_the_layers_below(spark, folder):
 
 
 def test_names_that_differ_by_case_fail_the_company_check(spark, folder):
-    warehouse = land(spark, folder, b={"jobs": [B1, {**B2, "company_name": "blue & co"}]})
+    warehouse = land(spark, folder, b={"jobs": [B1, {**B2, "company_name": "tern & tide"}]})
     with pytest.raises(QualityError, match="unique_dim_company_company_id"):
         build_models(warehouse, Params(T0))
 
@@ -188,7 +186,7 @@ def test_warnings_do_not_stop_the_build(spark, folder):
     warned = {n: r["failures"] for n, r in results.items() if r["status"] == "warn"}
     assert warned == {"no_mojibake_in_text": 1, "locations_translated": 1, "locations_have_region": 1}
     fact = {r.job_id: r.location for r in model(warehouse, "fact_job_postings").collect()}
-    assert fact["remoteok_701"] is None and fact["remoteok_703"] is None
+    assert fact["remoteok_tern-1"] is None and fact["remoteok_tern-3"] is None
 
 
 def test_bad_salary_text_fails(spark, folder):

@@ -30,8 +30,8 @@ def test_dump_readers(spark, folder):
     a = read_array_dump(spark, dump(folder, "a", DUMP_A))
     assert [json.loads(r.payload) for r in a.orderBy("position").collect()] == DUMP_A
     b = read_envelope_dump(spark, dump(folder, "b", DUMP_B))
-    assert b.count() == 5
-    assert read_envelope_dump(spark, dump(folder, "none", {"job-count": 0})).count() == 0
+    assert b.count() == 4
+    assert read_envelope_dump(spark, dump(folder, "none", {"count": 0})).count() == 0
     assert read_array_dump(spark, dump(folder, "empty", [])).count() == 0
 
 
@@ -58,13 +58,13 @@ def test_seed_csv(spark, folder):
 
 def test_a_run_lands_what_is_relevant_and_logs_what_it_read(spark, folder):
     warehouse = land(spark, folder)
-    assert sorted(raw(warehouse)) == ["remoteok_701", "remoteok_703"]
-    assert sorted(raw(warehouse, "remotive")) == ["remotive_91", "remotive_92", "remotive_95"]
-    assert raw(warehouse)["remoteok_703"][0]["company"] == "Blue & Co"
-    assert raw(warehouse)["remoteok_701"][0] == A1
+    assert sorted(raw(warehouse)) == ["remoteok_tern-1", "remoteok_tern-3"]
+    assert sorted(raw(warehouse, "remotive")) == ["remotive_8101", "remotive_8102", "remotive_8104"]
+    assert raw(warehouse)["remoteok_tern-3"][0]["company"] == "Tern & Tide"
+    assert raw(warehouse)["remoteok_tern-1"][0] == A1
     runs = {r.source: r for r in runlog.load_runs(warehouse).collect()}
     assert (runs["remoteok"].records_fetched, runs["remoteok"].records_upserted) == (4, 2)
-    assert (runs["remotive"].records_fetched, runs["remotive"].records_upserted) == (5, 3)
+    assert (runs["remotive"].records_fetched, runs["remotive"].records_upserted) == (4, 3)
     assert {r.status for r in runs.values()} == {"success"}
     assert len({r.run_id for r in runs.values()}) == 2
 
@@ -72,14 +72,14 @@ def test_a_run_lands_what_is_relevant_and_logs_what_it_read(spark, folder):
 def test_upsert_updates_keeps_and_inserts(spark, folder):
     warehouse = land(spark, folder)
     changed = {**A1, "description": "changed data"}
-    new = {**A3, "id": "704"}
+    new = {**A3, "id": "tern-4"}
     path = dump(folder, "a-next", [changed, new])
     assert run_source(warehouse, SOURCE_A, path, clock=at(T0 + DAY)) == 2
     got = raw(warehouse)
     t0, t1 = naive(T0), naive(T0 + DAY)
-    assert got["remoteok_701"] == (changed, t0, t1)
-    assert got["remoteok_703"][1:] == (t0, t0)
-    assert got["remoteok_704"][1:] == (t1, t1)
+    assert got["remoteok_tern-1"] == (changed, t0, t1)
+    assert got["remoteok_tern-3"][1:] == (t0, t0)
+    assert got["remoteok_tern-4"][1:] == (t1, t1)
     assert raw_table(warehouse, "remoteok").parts() == ["2026-08-20", "2026-08-21"]
 
 
@@ -182,5 +182,5 @@ def test_streamed_files_land_once(spark, folder):
     land_arriving(warehouse, SOURCE_A, f"{folder}/in", clock=at(T0 + DAY)).awaitTermination()
     land_arriving(warehouse, SOURCE_A, f"{folder}/in", clock=at(T0 + 2 * DAY)).awaitTermination()
     got = raw(warehouse)
-    assert got["remoteok_701"] == ({**A1, "url": "later"}, naive(T0), naive(T0 + DAY))
-    assert got["remoteok_703"][1:] == (naive(T0), naive(T0))
+    assert got["remoteok_tern-1"] == ({**A1, "url": "later"}, naive(T0), naive(T0 + DAY))
+    assert got["remoteok_tern-3"][1:] == (naive(T0), naive(T0))
