@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.shared import ASCII_SPACE, batches, byte_texts, stored, texts_of
+from postlode.llm.shared import ASCII_SPACE, batches, byte_texts, free_name, stored, texts_of
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -167,7 +167,9 @@ def with_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     same = documents["doc_id"].cast("long").eqNullSafe(bitmaps["doc_id"]) & (
         F.xxhash64(documents["text"]) == bitmaps["of"]
     )
-    return documents.join(bitmaps, same, "left").select(*[documents[c] for c in documents.columns], bitmaps["keep"])
+    # Either side may outgrow any broadcast, so both are shuffled at every size.
+    joined = documents.join(bitmaps.hint("merge"), same, "left")
+    return joined.select(*[documents[c] for c in documents.columns], bitmaps["keep"].alias(free_name(documents, "keep")))
 
 
 def kept_text(text: bytes, bitmap: bytes | None) -> tuple[bytes, int, int]:
