@@ -333,7 +333,8 @@ def read_archives(files: DataFrame, with_payload: bool = False, split_bytes: int
                         yield _table(rows, schema)
 
     assert [f.name for f in schema] == names
-    return ranged.repartition("file", "at").mapInArrow(run, RECORDS)
+    # A partition per range; without the number, a few rows of names would all go to one task.
+    return ranged.repartition(max(1, ranged.count()), "file", "at").mapInArrow(run, RECORDS)
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
