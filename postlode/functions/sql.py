@@ -6,19 +6,22 @@ from pyspark.sql import SparkSession
 
 from postlode import fixed_values as fixed
 
+# The tests of ``functions.text.is_mojibake``, the cheap one first.
+_DAMAGED = f"octet_length(c) <> length(c) and c rlike r'{fixed.MOJIBAKE_SIGNATURE}'"
+
 SQL_FUNCTIONS = {
     "clean_text": (
         "STRING",
         f"nullif(trim(regexp_replace(c, r'{fixed.WHITESPACE}+', ' ')), '')",
     ),
-    "is_mojibake": ("BOOLEAN", f"c rlike r'{fixed.MOJIBAKE_SIGNATURE}'"),
+    "is_mojibake": ("BOOLEAN", _DAMAGED),
     "is_non_latin": (
         "BOOLEAN",
         f"c rlike r'{fixed.NON_ASCII}' and not c rlike r'{fixed.LATIN_LETTER}'",
     ),
     "null_if_mojibake": (
         "STRING",
-        f"case when c rlike r'{fixed.MOJIBAKE_SIGNATURE}' then null else c end",
+        f"case when not ({_DAMAGED}) then c end",
     ),
     "surrogate_key": ("STRING", "md5(lower(trim(c)))"),
 }

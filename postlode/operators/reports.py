@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlode import fixed_values as fixed
@@ -56,6 +56,27 @@ def run_history(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.desc("started_at"), F.desc("run_id"))
 
 
+def with_place(rows: DataFrame, *order: Column) -> DataFrame:
+    """Number all rows in an order, with no task that sees more than its range of them.
+
+    Rows are cut into ranges and sorted there; a range's first place follows from the sizes of the
+    ranges before it, which is as many rows as there are ranges. The number of ranges is
+    stated, so both uses of them are cut alike.
+    """
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()
+    numbered = ordered.select("*", F.shiftright(at, 33).alias("_range"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    firsts = sizes.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    return (
+        numbered.join(F.broadcast(firsts), "_range")  # a row per range
+        .withColumn("place", F.col("_first") + F.col("_at") + 1)
+        .drop("_range", "_at", "_first")
+    )
+
+
 def with_category_label(demand: DataFrame) -> DataFrame:
     return demand.withColumn("category_label", label_with_fallback("category"))
 

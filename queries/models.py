@@ -20,7 +20,6 @@ from queries.registry import (
     micros,
     query,
     share_sql,
-    stored,
     values_sql,
 )
 
@@ -489,7 +488,7 @@ def region_demand(t):
 def posting_skill_demand(t):
     """From raw payloads of two sources to skill demand."""
     flagged = marts.with_activity_flag(unified(t), PARAMS)
-    postings = stored(flagged.select("job_id", "description", "tags", "is_active"))
+    postings = flagged.select("job_id", "description", "tags", "is_active")
     pairs = marts.bridge_job_skill(postings, skills(t))
     return _demand_view(marts.skill_demand(skills(t), pairs, postings))
 
@@ -508,8 +507,6 @@ def posting_skill_demand(t):
     FROM counts, total""")
 def posting_region_demand(t):
     """From raw payloads of two sources to demand by region."""
-    fact = stored(
-        marts.fact_postings(unified(t), PARAMS).select("job_id", "location", "is_active")
-    )
+    fact = marts.fact_postings(unified(t), PARAMS).select("job_id", "location", "is_active")
     pairs = marts.bridge_job_region(fact, regions(t), PARAMS)
     return marts.region_demand(pairs, fact).withColumns(as_double("pct_of_active_postings"))

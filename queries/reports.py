@@ -76,19 +76,11 @@ def latest_status(t):
 
 
 @query(f"""
-    SELECT row_number() OVER (ORDER BY started_at DESC, run_id DESC) AS place, run_id
-    FROM ({RUNS_SQL}) ORDER BY started_at DESC, run_id DESC LIMIT 100""")
-def run_history_head(t):
-    """The first hundred runs of the history, newest first."""
-    head = reports.run_history(runs(t)).select("started_at", "run_id").limit(100)
-    return _placed(head, F.desc("started_at"), F.desc("run_id")).select("place", "run_id")
-
-
-def _placed(small, *order):
-    """Number the rows of a small ordered result, so that its order can be compared."""
-    from pyspark.sql import Window
-
-    return small.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    SELECT row_number() OVER (ORDER BY started_at DESC, run_id DESC) AS place, run_id FROM ({RUNS_SQL})""")
+def run_history(t):
+    """The whole history, newest first, each run with its place in it."""
+    order = [F.desc("started_at"), F.desc("run_id")]
+    return reports.with_place(runs(t).select("started_at", "run_id"), *order).select("place", "run_id")
 
 
 LABELLED_SQL = f"""
@@ -129,9 +121,9 @@ def category_list(t):
     FROM ({REGION_DEMAND_SQL})""")
 def region_ranking(t):
     """The unspecified region pinned first, the others by ascending count."""
-    ranked = reports.region_ranking(customer_region_demand(t))
     pinned = F.desc(F.col("region") == "Unspecified")
-    return _placed(ranked, pinned, "postings_count", "region").select(
+    ranked = reports.region_ranking(customer_region_demand(t))
+    return reports.with_place(ranked, pinned, F.asc("postings_count"), F.asc("region")).select(
         "place", "region", "postings_count"
     )
 

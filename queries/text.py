@@ -167,20 +167,28 @@ def label_fallback(t):
 
 
 @query(rf"""
-    SELECT doc_id,
-           md5(coalesce(nullif(trim(regexp_replace(text, '[{SPACES}]+', ' ', 'g'), ' '), ''), '')) AS clean_md5,
-           regexp_matches(text, '[\x{{C2}}-\x{{F4}}][\x{{80}}-\x{{BF}}]') AS mojibake,
+    WITH texts AS (
+        SELECT doc_id, FALSE AS damaged, text, source FROM documents
+        UNION ALL
+        SELECT doc_id, TRUE, text, source FROM documents)
+    SELECT doc_id, damaged,
+           CASE WHEN damaged THEN NULL ELSE
+               md5(coalesce(nullif(trim(regexp_replace(text, '[{SPACES}]+', ' ', 'g'), ' '), ''), '')) END AS clean_md5,
+           CASE WHEN damaged THEN regexp_matches(text, '[^\x00-\x7F]')
+                ELSE regexp_matches(text, '[\x{{C2}}-\x{{F4}}][\x{{80}}-\x{{BF}}]') END AS mojibake,
            regexp_matches(text, '[^\x01-\x7f]') AND NOT regexp_matches(text, '[A-Za-z]') AS non_latin,
-           md5(text) AS kept_md5,
+           CASE WHEN damaged AND regexp_matches(text, '[^\x00-\x7F]') THEN NULL ELSE md5(text) END AS kept_md5,
            md5(lower(trim(source, ' '))) AS source_key
-    FROM documents
-    WHERE NOT regexp_matches(text, '[\x{{C2}}-\x{{F4}}][\x{{80}}-\x{{BF}}]')""")
+    FROM texts""")
 def sql_macros(t):
-    """The five text macros called from SQL."""
+    """The five text macros called from SQL, on texts as they are and on the same texts damaged."""
     register_sql_functions(t.spark)
-    t.documents.createOrReplaceTempView("documents_for_macros")
+    clean = t.documents.select("doc_id", F.lit(False).alias("damaged"), "text", "source")
+    damaged = t.documents.select("doc_id", F.lit(True).alias("damaged"), corrupt(F.col("text")).alias("text"), "source")
+    clean.unionByName(damaged).createOrReplaceTempView("documents_for_macros")
     return t.spark.sql("""
-        SELECT doc_id, md5(coalesce(clean_text(text), '')) AS clean_md5,
+        SELECT doc_id, damaged,
+               CASE WHEN NOT damaged THEN md5(coalesce(clean_text(text), '')) END AS clean_md5,
                is_mojibake(text) AS mojibake, is_non_latin(text) AS non_latin,
                md5(null_if_mojibake(text)) AS kept_md5, surrogate_key(source) AS source_key
-        FROM documents_for_macros WHERE NOT is_mojibake(text)""")
+        FROM documents_for_macros""")
