@@ -17,7 +17,6 @@ from postlode.functions.text import (
     strip_trailing_separators,
 )
 from postlode.operators.landing import in_categories
-from postlode.sources.small import broadcast_if_small
 
 
 def union_sources(staged: Sequence[DataFrame]) -> DataFrame:
@@ -47,7 +46,7 @@ def clean_location(location: Column) -> Column:
 
 def translate_location(df: DataFrame, translations: DataFrame) -> DataFrame:
     """Add ``location``: the translation, NULL for other non-Latin text, else the source text."""
-    t = broadcast_if_small(translations.select("source_location", "location_en"))
+    t = translations.select("source_location", "location_en")
     source = F.col("source_location")
     return (
         df.join(t, "source_location", "left")

