@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +18,8 @@ from postlode.operators import landing
 from postlode.operators.runlog import log_run
 from postlode.operators.staging import stage_source_a, stage_source_b
 from postlode.operators.upsert import latest_per_key, upsert_table
-from postlode.session import use_checkpoint_dir
 from postlode.sources.dumps import read_array_dump, read_envelope_dump
-from postlode.sources.tables import Table, Warehouse
+from postlode.sources.tables import Table, Warehouse, remove_folder
 
 logger = logging.getLogger(__name__)
 
@@ -75,18 +75,34 @@ def keyed_batch(spec: SourceSpec, postings: DataFrame) -> DataFrame:
     )
 
 
-def land_batch(warehouse: Warehouse, spec: SourceSpec, postings: DataFrame, now: datetime) -> int:
-    """Upsert one batch of raw postings; returns the rows kept, repeats of a key included."""
-    use_checkpoint_dir(warehouse.spark, f"{warehouse.root}/_checkpoints")
+def land_batch(
+    warehouse: Warehouse,
+    spec: SourceSpec,
+    postings: DataFrame,
+    now: datetime,
+    when_read: Callable[[], None] = lambda: None,
+) -> int:
+    """Upsert one batch of raw postings; returns the rows kept, repeats of a key included.
+
+    ``when_read`` is called once the postings have been read, before the table changes.
+    """
+    spark = warehouse.spark
     table = raw_table(warehouse, spec.name)
     table.ensure()
-    # The batch is counted, looked up and merged: stored once, so that the
+    # The batch is counted, looked up and merged: written once, so that the
     # dump is parsed and repaired once and a lost executor costs no more.
-    batch = keyed_batch(spec, postings).checkpoint()
-    rows = batch.count()
-    if rows:
-        last = latest_per_key(batch, ["job_id"], F.col("position")).drop("position")
-        upsert_table(table, last, now)
+    staged = f"{warehouse.root}/_staged/{uuid.uuid4().hex}"
+    try:
+        kept = keyed_batch(spec, postings)
+        kept.write.parquet(staged)
+        when_read()
+        batch = spark.read.schema(kept.schema).parquet(staged)
+        rows = batch.count()
+        if rows:
+            last = latest_per_key(batch, ["job_id"], F.col("position")).drop("position")
+            upsert_table(table, last, now)
+    finally:
+        remove_folder(spark, staged)
     return rows
 
 
@@ -106,9 +122,14 @@ def run_source(
     started = clock()
     fetched = 0
     try:
-        postings = spec.read(warehouse.spark, path)
-        fetched = postings.count()
-        kept = land_batch(warehouse, spec, postings, clock())
+        read = Observation()
+        postings = spec.read(warehouse.spark, path).observe(read, F.count(F.lit(1)).alias("rows"))
+
+        def when_read() -> None:
+            nonlocal fetched
+            fetched = read.get["rows"]
+
+        kept = land_batch(warehouse, spec, postings, clock(), when_read)
         log_run(
             warehouse, source=spec.name, fetched=fetched, upserted=kept, started_at=started,
             finished_at=clock(), status="success",

@@ -39,15 +39,3 @@ def build_session(app_name: str = "postlode", **settings: str) -> SparkSession:
     for key, value in {**CLUSTER_SETTINGS, **RESULT_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def use_checkpoint_dir(spark: SparkSession, fallback: str | None) -> str:
-    """The shared ``spark.checkpoint.dir`` of the cluster; ``fallback`` only if it names none."""
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or fallback
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder)
-    return folder

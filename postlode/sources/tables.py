@@ -99,6 +99,13 @@ class Table:
         self._publish(version + 1, kept + new)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files, on whatever file system it is."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """All tables of one deployment below one folder."""
