@@ -1,4 +1,4 @@
-"""Session settings this package relies on, and the shared checkpoint folder."""
+"""Session settings this package relies on."""
 
 from __future__ import annotations
 
