@@ -150,18 +150,29 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
 
 
 def permuted_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each suffix in text order, its common prefix with the one before it in ``sa``, up to ``most`` bytes."""
+    """For each suffix in text order, its common prefix with the one before it in ``sa``, up to ``most``.
+
+    ``data`` holds 16-bit symbols; zero separates strings and matches nothing. Four symbols are compared at once.
+    """
     n = len(data)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([data, np.zeros(most + 8, data.dtype)])
-    plcp = np.zeros(n, np.int32)
+    padded = np.concatenate([data.astype("<u2"), np.zeros(most + 8, "<u2")])
+    words = np.ndarray(n + most + 4, "<u8", padded.data, strides=(2,))
+    plcp = np.zeros(n, np.int64)
     rest = np.flatnonzero(before >= 0)
-    for k in range(most):
-        # Separators are zero and match nothing.
-        mine = padded[rest + k]
-        rest = rest[(mine == padded[before[rest] + k]) & (mine != 0)]
+    other = before[rest]
+    for k in range(0, most, 4):
+        differ = words[rest + k] ^ words[other + k]
+        equal = differ == 0
+        found = differ[~equal]
+        # The lowest bit that differs tells how many of the four symbols agree.
+        lowest = found & (~found + np.uint64(1))
+        plcp[rest[~equal]] = k + np.bitwise_count(lowest - np.uint64(1)) // 16
+        rest, other = rest[equal], other[equal]
         if not len(rest):
             break
-        plcp[rest] = k + 1
-    return plcp
+    plcp[rest] = most
+    zeros = np.flatnonzero(data == 0)
+    ends = np.append(zeros, n)[np.searchsorted(zeros, np.arange(n))]
+    return np.minimum(np.minimum(plcp, most), ends - np.arange(n))

@@ -270,18 +270,23 @@ def _decide_shard(table: pa.Table) -> pa.Table:
     # A start with fewer bytes left has a class of its own.
     smallest[sa] = np.repeat(np.minimum.reduceat(least[of[sa]], heads), np.diff(np.append(heads, len(sa))))
     # Windows of a string in a row with the same document become one run.
-    found = []
-    for string, (low, n) in enumerate(zip(begin.tolist(), (length - MATCH + 1).tolist(), strict=True)):
-        values = smallest[low : low + n]
-        edges = np.flatnonzero(values[1:] != values[:-1]) + 1
-        found.append((np.diff(np.concatenate([[0], edges, [n]])), values[np.concatenate([[0], edges])]))
+    windows = length - MATCH + 1
+    at = np.arange(int(windows.sum())) + np.repeat(begin - (np.cumsum(windows) - windows), windows)
+    values = smallest[at]
+    edge = np.append(True, values[1:] != values[:-1])
+    edge[np.cumsum(windows)[:-1]] = True
+    heads = np.flatnonzero(edge)
+    lengths, values = np.diff(np.append(heads, len(edge))), values[heads]
+    runs_of = np.bincount(of[at[heads]], minlength=len(length))
+    first_of = np.cumsum(runs_of) - runs_of
     groups, shard, blobs = [], [], []
     done = 0
     for row, size in zip(rows, sizes, strict=True):
-        own = [found[i] for i in number[done : done + len(size)].tolist()]
+        own = number[done : done + len(size)]
         done += len(size)
-        runs = np.array([len(f[0]) for f in own], np.int64)
-        parts = [np.array([len(own)], np.int64), runs, *(f[0] for f in own), *(f[1] for f in own)]
+        runs = runs_of[own]
+        at = np.arange(int(runs.sum())) + np.repeat(first_of[own] - (np.cumsum(runs) - runs), runs)
+        parts = [np.array([len(own)], np.int64), runs, lengths[at], values[at]]
         blobs.append(zlib.compress(np.concatenate(parts).astype(np.int64).tobytes(), 1))
         groups.append(row["grp"])
         shard.append(row["shard"])
