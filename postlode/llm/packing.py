@@ -83,19 +83,17 @@ class _Segment:
     def add(self, doc_id: int | None, ids: np.ndarray, sentences: np.ndarray) -> None:
         """``sentences`` are token counts at which a sentence ends, below the document's length."""
         n = len(ids)
-        marks = np.unique(np.concatenate([sentences, [n]]))
-        marks = marks[(marks > 0) & (marks <= n)]
-        gaps = np.diff(marks, prepend=0)
-        hard = [
-            np.arange(int(m - g) + HARD_STEP, int(m), HARD_STEP) for m, g in zip(marks, gaps, strict=True) if g > HARD_STEP
-        ]
-        ends, penalties = marks, np.where(marks == n, 0, SENTENCE_PENALTY)
-        if hard:
-            inside = np.concatenate(hard)
-            ends = np.concatenate([ends, inside])
-            penalties = np.concatenate([penalties, np.full(len(inside), HARD_PENALTY)])
-            order = np.argsort(ends, kind="stable")
-            ends, penalties = ends[order], penalties[order]
+        ends = np.append(sentences[sentences < n], n)
+        penalties = np.full(len(ends), SENTENCE_PENALTY)
+        penalties[-1] = 0
+        gaps = np.diff(ends, prepend=0)
+        if gaps.max() > HARD_STEP:
+            # Every sentence's cuts, then those of long sentences in between.
+            extra = (gaps - 1) // HARD_STEP
+            first = np.repeat(ends - gaps, extra)
+            inside = first + HARD_STEP * (np.arange(len(first)) - np.repeat(np.cumsum(extra) - extra, extra) + 1)
+            at = np.repeat(np.arange(len(ends)), extra)
+            ends, penalties = np.insert(ends, at, inside), np.insert(penalties, at, HARD_PENALTY)
         self.docs.append((doc_id, ids))
         self.ends.append(ends + self.tokens)
         self.penalties.append(penalties)

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from postlode.llm.shared import worker_cache
 
 # Chunks that a worker remembers at most, and how many it keeps then. This bounds memory, not results.
-MEMORY, KEPT = 600_000, 200_000
+MEMORY, KEPT = 900_000, 400_000
 # A blank belongs to what follows it; of other white space before a word, the last character stands alone.
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
@@ -150,15 +150,18 @@ class ChunkEncoder:
         of_line, of_word = of_line - of_line[0], of_word - of_word[0]
         led = np.ones(len(at), np.int64)
         led[of_word[:-1]] = 0  # the first word of a line has no blank before it
-        keys, where = np.unique(at * 2 + led, return_inverse=True)
+        key = at * 2 + led
+        there = np.zeros(2 * len(words), bool)
+        there[key] = True
+        keys = np.flatnonzero(there)
         usable = ~odd[keys >> 1]
         plain = [" " + words[k >> 1] if k & 1 else words[k >> 1] for k in keys[usable].tolist()]
-        table = np.zeros(len(keys), np.int64)
-        table[usable] = self._numbers(plain)
+        table = np.zeros(len(there), np.int64)
+        table[keys[usable]] = self._numbers(plain)
         # A line feed before each line but a text's first.
         later = np.ones(len(split), bool)
         later[of_line[:-1]] = False
-        numbers = np.insert(table[where], of_word[:-1][later], self._numbers(["\n"])[0])
+        numbers = np.insert(table[key], of_word[:-1][later], self._numbers(["\n"])[0])
         chunks = np.diff(of_word[of_line]) + np.diff(of_line) - 1
         again = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(odd[at])])[of_word[of_line]]))
         if not len(again):
