@@ -225,5 +225,5 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                 if rows:
                     yield flush(rows)
 
-    spread = files.repartition(F.col("file"))
-    return spread.mapInArrow(run, schema)
+    # A partition per file; without the number, a few rows of names would all go to one task.
+    return files.repartition(max(1, files.count()), "file").mapInArrow(run, schema)
