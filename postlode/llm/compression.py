@@ -13,6 +13,7 @@ their own. With no label of one class every score is the share of good labels, o
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ SAMPLE_TEXT_BYTES = 32_768
 CURVE_SHARE = 4
 # Bytes of one dictionary; the texts of the sample share them evenly, so none crowds out others.
 DICTIONARY_BYTES = 400_000
+# Bytes that a long text gives at a time; by the defaults each gives four windows.
+WINDOW_BYTES = 64
 LEVEL = 3
 
 
@@ -44,22 +47,27 @@ class Model:
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
-    """Raw content of up to ``size`` bytes; a long text gives windows spread over its whole length."""
+    """Raw content of up to ``size`` bytes: of every text, windows of one size from all over it.
+
+    A text gives as many windows as its share holds, evenly spaced from an offset hashed from the text.
+    So every part of the texts is taken alike, however many texts there are.
+    """
     if not texts:
         return b""
-    share = max(256, size // len(texts))
+    pieces = max(1, size // len(texts) // (WINDOW_BYTES + 1))
     parts, total = [], 0
     for text in texts:
         if total >= size:
             break
-        if len(text) <= share:
-            part = text
+        if len(text) <= pieces * WINDOW_BYTES:
+            windows = [text]
         else:
-            pieces = max(1, share // 512)
-            step = len(text) / pieces
-            part = b"".join(text[int(i * step) : int(i * step) + share // pieces] for i in range(pieces))
-        parts.append(part)
-        total += len(part) + 1
+            shift, step = zlib.crc32(text) / 2**32, (len(text) + WINDOW_BYTES) / pieces
+            # A window may begin before the text or end behind it, so its edges are taken alike too.
+            starts = (int((i + shift) * step) - WINDOW_BYTES for i in range(pieces))
+            windows = [text[max(0, at) : at + WINDOW_BYTES] for at in starts]
+        parts.extend(windows)
+        total += sum(len(w) + 1 for w in windows)
     return b"\n".join(parts)[:size]
 
 

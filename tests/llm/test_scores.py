@@ -86,6 +86,27 @@ class TestCompression:
         assert all(0 <= r.score <= 1 for r in found)
         assert sum((r.score >= 0.3) == (r.doc_id < 1000) for r in found) / len(found) > 0.95
 
+    @pytest.mark.parametrize("place", ["middle", "end"])
+    def test_learns_signs_behind_the_first_lines(self, spark, place):
+        def text(i: int, bad: bool) -> str:
+            junk = prose(9000 + i, 40)
+            junk = " ".join(w.upper() + "!!" for w in junk.split()) if bad else junk
+            return f"{prose(i, 70)}\n{junk}" + (f"\n{prose(20_000 + i, 30)}" if place == "middle" else "")
+
+        # More texts a class than the sample takes.
+        rows = [(i, text(i, i % 2 == 0)) for i in range(2 * (compression.SAMPLE_ROWS + 200))]
+        test = [(100_000 + i, text(100_000 + i, i % 2 == 0)) for i in range(100)]
+        labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, label int")
+        model = compression.fit(frame(spark, rows), labels)
+        found = compression.score(frame(spark, test), model).collect()
+        assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in found) / len(found) > 0.95
+
+    def test_every_text_gives_all_its_parts_alike(self):
+        texts = [bytes(100 + j // 40 for j in range(2000)) + b"%d" % i for i in range(1500)]
+        taken = Counter(compression._dictionary(texts, 400_000))
+        tenths = [sum(taken[100 + j] for j in range(k, k + 5)) for k in range(0, 50, 5)]
+        assert max(tenths) < 1.2 * min(tenths)
+
     def test_odd_rows_and_columns(self, spark):
         rows = self.rows()
         labels = spark.createDataFrame(
