@@ -345,6 +345,40 @@ def bridge_region_large(t):
     return pairs.groupBy("region").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+# Rows without any keyword beside the documents: their keys and places.
+UNNAMED_PLACES_SQL = "VALUES (-1, NULL), (-2, ''), (-3, '?!')"
+
+
+@query(rf"""
+    WITH words AS (SELECT DISTINCT w FROM (
+            SELECT unnest(regexp_split_to_array(lower(text), '{NOT_WORD}+')) AS w FROM benchmark) WHERE w <> ''),
+         places(job_id, place) AS (
+            SELECT doc_id, concat_ws(' ', source, text) FROM documents UNION ALL {UNNAMED_PLACES_SQL}),
+         seen AS (SELECT DISTINCT job_id, w[1] AS region FROM (
+            SELECT job_id, unnest(regexp_split_to_array(lower(place), '{NOT_WORD}+')) AS w FROM places)
+            JOIN words USING (w))
+    SELECT region, count(*) AS n_documents FROM (
+        SELECT job_id, region FROM seen
+        UNION ALL
+        SELECT job_id, 'Unspecified' FROM places WHERE job_id NOT IN (SELECT job_id FROM seen))
+    GROUP BY region""")
+def bridge_region_every(t):
+    """`bridge_region_large` with the source and text of every document searched.
+
+    The default comes from rows that name none: a few generated ones, and documents without a keyword.
+    """
+    words = t.benchmark.select(F.explode(F.split(F.lower("text"), "(?U)\\W+")).alias("match_keyword"))
+    regions_of_words = words.where("match_keyword <> ''").distinct().withColumn(
+        "region", F.substring("match_keyword", 1, 1)
+    )
+    unnamed = t.spark.sql(f"SELECT CAST(id AS BIGINT) AS job_id, location FROM {UNNAMED_PLACES_SQL} AS v(id, location)")
+    places = t.documents.select(
+        F.col("doc_id").cast("bigint").alias("job_id"), F.concat_ws(" ", "source", "text").alias("location")
+    ).unionByName(unnamed)
+    pairs = region_rows(places, regions_of_words, default=fixed.UNSPECIFIED)
+    return pairs.groupBy("region").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 # The customer's market as its location: some name a region, one is NULL.
 PLACES_SQL = """
     SELECT c_custkey AS job_id, c_acctbal >= 0 AS is_active,

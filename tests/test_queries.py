@@ -1,6 +1,8 @@
 """Every registered query against its SQL twin, over the driver's smallest tables."""
 
 import os
+import re
+from collections import Counter
 
 import pytest
 
@@ -29,3 +31,14 @@ def test_flagship(spark):
     assert set(queries.ORACLES) == set(queries.QUERIES)
     assert set(queries.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_large_regions_search_every_document(spark):
+    tables = {n: spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("benchmark", "documents")}
+    keywords = {w for r in tables["benchmark"].collect() for w in re.findall(r"\w+", (r.text or "").lower())}
+    expected = Counter({"Unspecified": 3})
+    for r in tables["documents"].collect():
+        found = {w[0] for w in re.findall(r"\w+", f"{r.source or ''} {r.text or ''}".lower()) if w in keywords}
+        expected.update(found or ["Unspecified"])
+    found = queries.QUERIES["bridge_region_every"](spark, SF_DIR).collect()
+    assert len(keywords) > 200 and {r.region: r.n_documents for r in found} == expected
