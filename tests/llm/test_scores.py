@@ -107,6 +107,33 @@ class TestCompression:
         tenths = [sum(taken[100 + j] for j in range(k, k + 5)) for k in range(0, 50, 5)]
         assert max(tenths) < 1.2 * min(tenths)
 
+    @pytest.mark.parametrize("at", [300_000, 1_000_000, 2_500_000, 5_000_000])
+    def test_a_passage_counts_wherever_it_stands(self, at):
+        def shouted(seed: int, n: int) -> str:
+            return " ".join(w.upper() + "!!" for w in prose(seed, n).split())
+
+        sizes = compression.Sizes(prose(1, 5000).encode(), shouted(2, 5000).encode())
+        rng = np.random.default_rng(3)
+        words = [bytes(rng.integers(97, 123, rng.integers(2, 10)).astype(np.uint8)) for _ in range(5000)]
+        filler = b" ".join(words[i] for i in rng.integers(0, len(words), 900_000))[:5_100_000]
+        passage = shouted(4, 400).encode()
+
+        def effect(place: int) -> float:
+            with_it = filler[:place] + passage + filler[place + len(passage) :]
+            return sizes.feature(with_it) - sizes.feature(filler)
+
+        assert effect(0) < 0 and 0.8 < effect(at) / effect(0) < 1.25
+
+    def test_long_bad_texts_are_bad(self, spark):
+        rows = self.rows()
+        labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, label int")
+        model = compression.fit(frame(spark, rows), labels)
+        filler = np.random.default_rng(3).integers(97, 123, 2_500_000).astype(np.uint8).tobytes().decode()
+        long = [(1, f"{filler} {prose(5, 40_000)}"), (2, f"{filler} " + " ".join(w.upper() + "!!" for w in prose(5, 40_000).split()))]
+        found = {r.doc_id: r.score for r in compression.score(frame(spark, long), model).collect()}
+        neutral = compression.score(frame(spark, [(0, "")]), model).first().score
+        assert found[2] < min(neutral, 0.3) < found[1]
+
     def test_odd_rows_and_columns(self, spark):
         rows = self.rows()
         labels = spark.createDataFrame(
