@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postlode.llm import (
     compression,
+    filter_audit,
     lattice,
     line_dedup,
     line_quality,
@@ -168,3 +169,59 @@ def op3_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that go as repeats of smaller ids."""
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), firsts AS (
+    SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t
+), marks AS (
+    SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+    FROM labels GROUP BY doc_id
+), failed AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS failed
+    FROM texts JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+), counted AS (
+    SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failed GROUP BY part, failed
+), letters(l) AS (
+    VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), placed AS (
+    SELECT *, CASE WHEN failed = '' THEN 9 ELSE
+                   list_min(list_transform(string_split(failed, ''), lambda x: strpos(filter_order, x))) END AS gone
+    FROM counted, orders
+), steps AS (
+    SELECT *, substr(filter_order, step, 1) AS letter FROM placed, range(1, 6) AS r(step)
+), sums AS (
+    SELECT part, filter_order, step, letter,
+           sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+           sum(n) FILTER (contains(failed, letter) AND gone < step) AS redundant,
+           sum(n) FILTER (failed = letter) AS unique_fails,
+           sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+    FROM steps GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept,
+       coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+       coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM sums
+"""
