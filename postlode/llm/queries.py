@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlode.llm import (
+    bbit_minhash,
     compression,
     filter_audit,
     lattice,
@@ -225,3 +226,9 @@ SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS k
        (sum(coalesce(removed, 0)) OVER (PARTITION BY part, letter))::BIGINT AS shapley
 FROM sums
 """
+
+
+@query
+def op11_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and near-duplicate component of every document."""
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
