@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postlode.llm import (
     bbit_minhash,
     compression,
+    diagonal_align,
     filter_audit,
     lattice,
     line_dedup,
@@ -232,3 +233,10 @@ FROM sums
 def op11_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the shingle set and near-duplicate component of every document."""
     return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+@query
+def op12_diagonal_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' ids for every document."""
+    documents = table(spark, sf_dir, "documents")
+    return diagonal_align.digests(documents, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))

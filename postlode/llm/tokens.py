@@ -24,7 +24,7 @@ MEMORY, KEPT = 900_000, 400_000
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """Characters that stand for bytes in byte-level vocabularies: printable ones for themselves."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in own]
@@ -42,7 +42,7 @@ class ChunkEncoder:
         self._tokenizer.encode_special_tokens = True
         self._keeps_space = keeps_space
         self._marks = re.compile(marks) if marks else None
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
