@@ -4,7 +4,9 @@ A document is its set of shingles, as 64-bit hashes. ``BANDS * ROWS`` minima of
 multiplications. Each band of ``ROWS`` whole minima makes a key; documents that share a key are candidates. Of all
 minima the lowest ``BITS`` bits of a mix stay, packed in planes of 64-bit words. Bits that differ are counted
 on whole words; unlike minima agree by chance in one of ``2^BITS`` cases, for which the estimated
-similarity is corrected. Candidates whose estimate is well below the limit go; the others are confirmed on their full sets.
+similarity is corrected. Candidates whose estimate is well below the limit go. So do those whose sets have too many
+unlike members by a lower bound: a bitmap holds the parity of the members that fall on each bit, and two sets differ in as
+many members at least as their bitmaps in bits. The others are confirmed on their full sets.
 
 A pair at the limit of 0.8 shares no band in 3 of 10^7 cases, and falls below the estimate's limit in as few.
 
@@ -36,6 +38,8 @@ BANDS, ROWS, BITS = 64, 7, 2
 MINIMA = BANDS * ROWS
 WORDS = MINIMA // 64  # of a plane of the signature
 FIRST_BANDS = 16
+PARITY_BITS = 2048
+MARK_BYTES = 32 << 20  # of the bitmap that tells the tasks whose full sets are needed
 # Five standard deviations of the estimate at the limit.
 SLACK = 0.11
 _BLOCK = 32  # shingles times multipliers stay in a core's cache
@@ -43,7 +47,9 @@ _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _ODD = np.random.default_rng(20).integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
 _FOLD = np.random.default_rng(21).integers(0, 1 << 64, ROWS, np.uint64) | np.uint64(1)
 
-SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>, signature array<long>"
+SCHEMA = (
+    "doc_id long, n_shingles long, digest binary, short long, bands array<long>, signature array<long>, parities array<long>"
+)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -106,6 +112,20 @@ def signatures(least: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.concatenate(planes, axis=1)).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each bit of the bitmap, whether an odd number of shingles falls on it."""
+    at = (shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(bool)).view(np.int64)
+
+
+def unlike_at_least(left: str, right: str) -> Column:
+    """Lower bound of the members that one of two sets has and the other has not, from their parity columns."""
+    differing = F.lit(0)
+    for word in range(PARITY_BITS // 64):
+        differing = differing + F.bit_count(F.get(left, F.lit(word)).bitwiseXOR(F.get(right, F.lit(word))))
+    return differing
+
+
 def estimate(left: str, right: str) -> Column:
     """Similarity of two signature columns, corrected for bits that agree by chance."""
     differing = F.lit(0)
@@ -126,7 +146,7 @@ def _lists(values: np.ndarray, there: np.ndarray) -> pa.ListArray:
 
 
 def sketches(documents: DataFrame, shingle_words: int) -> DataFrame:
-    """Set size, digest, band keys and signature of every row; no digest for an empty set."""
+    """Set size, digest, 64 bits of it, band keys, signature and parities of every row; no digest for an empty set."""
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(iterator):
@@ -135,23 +155,52 @@ def sketches(documents: DataFrame, shingle_words: int) -> DataFrame:
                 sets = shingle_sets(texts, shingle_words)
                 there = np.array([len(s) > 0 for s in sets], bool)
                 least = np.array([minima(s) for s in sets if len(s)], np.uint32).reshape(-1, MINIMA)
+                odd = np.array([parities(s) for s in sets if len(s)], np.int64).reshape(-1, PARITY_BITS // 64)
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 columns = [
                     ids.slice(low, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    _lists(band_keys(least), there), _lists(signatures(least), there),
+                    pa.array(digests, pa.binary()),
+                    pa.array([None if d is None else int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64()),
+                    _lists(band_keys(least), there), _lists(signatures(least), there), _lists(odd, there),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands", "signature"])
+                names = ["doc_id", "n_shingles", "digest", "short", "bands", "signature", "parities"]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 low += len(texts)
 
     return texts_of(documents).mapInArrow(run, SCHEMA)
 
 
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap with a bit set for each id in ``id``, of 16 bits an id and of ``MARK_BYTES`` at most.
+
+    What it lets through by chance is dropped by the digest afterwards.
+    """
+    n_bits = 1 << 15
+    while n_bits < min(16 * ids.count(), 8 * MARK_BYTES):
+        n_bits *= 2
+    places = ids.select((_mark_place("id", n_bits) + 1).alias("place"))  # Spark counts from one
+    buckets = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    )
+    marks = np.zeros((n_bits >> 15, 1 << 12), np.uint8)
+    for bucket, bits in buckets.collect():
+        marks[bucket - 1] = np.frombuffer(bits, np.uint8)
+    return marks.ravel()
+
+
+def _mark_place(name: str, n_bits: int) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(n_bits).cast("long"))
+
+
 def _full_sets(documents: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
-    """``node, shingles`` of the nodes given, from their texts."""
+    """``node, shingles`` of the nodes given, from their texts, which are not moved."""
+    marks = _marks(nodes.select(F.col("doc").alias("id")).distinct())
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(iterator):
-            for texts in text_groups(batch.column(1)):
+            place = batch.column(2).to_numpy()
+            marked = (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+            for texts in text_groups(batch.column(1).filter(pa.array(marked == 1))):
                 sets = [s for s in shingle_sets(texts, shingle_words) if len(s)]
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
@@ -160,8 +209,8 @@ def _full_sets(documents: DataFrame, nodes: DataFrame, shingle_words: int) -> Da
                     [digests, pa.ListArray.from_arrays(offsets, flat)], ["digest", "shingles"]
                 )
 
-    texts = texts_of(documents).join(nodes.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = texts.mapInArrow(run, "digest binary, shingles array<long>")
+    texts = texts_of(documents).withColumn("place", _mark_place("doc_id", 8 * len(marks)))
+    found = texts.where("doc_id is not null").mapInArrow(run, "digest binary, shingles array<long>")
     # An id with several texts may bring others along, and an id may stand twice with one text.
     return found.join(nodes.select("node", "digest"), "digest").select("node", "shingles").dropDuplicates(["node"])
 
@@ -180,7 +229,12 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 def _near(l: str, r: str, percent: int) -> Column:
     """What two rows with size and signature must have to be confirmed: no similar pair lacks it but by rare chance."""
     small, large = F.least(f"{l}.n", f"{r}.n"), F.greatest(f"{l}.n", f"{r}.n")
-    return (100 * small >= percent * large) & (estimate(f"{l}.signature", f"{r}.signature") >= percent / 100 - SLACK)
+    guess = estimate(f"{l}.signature", f"{r}.signature")
+    unlike = unlike_at_least(f"{l}.parities", f"{r}.parities")
+    return (
+        (100 * small >= percent * large) & (guess >= percent / 100 - SLACK)
+        & ((100 + percent) * unlike <= (100 - percent) * (small + large))
+    )
 
 
 def _merged(groups: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -194,20 +248,19 @@ def _merged(groups: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return stored(groups.join(renamed, "comp", "left").select("node", F.coalesce("joined", "comp").alias("comp")), name)
 
 
-def _star_links(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _star_links(rows: DataFrame, nodes: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links of nodes with one node of their bucket, that with another group's best estimate.
 
-    ``rows`` has ``key, node, comp, n, signature``. A bucket's chosen node is another one in each bucket.
+    ``rows`` has ``key, node, comp``, ``nodes`` has ``node, comp, n, signature, parities``. A bucket's chosen node is
+    another one in each bucket.
     """
     mask = F.xxhash64("key")
     chosen = rows.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.col("node").bitwiseXOR(mask)).alias("masked")
     )
     chosen = chosen.where("lo < hi").select("key", F.col("masked").bitwiseXOR(mask).alias("chosen"))
-    met = rows.select("key", "node").join(chosen, "key").where("node <> chosen")
-    pairs = met.select("node", "chosen").distinct()
-    one = rows.select("node", "comp", "n", "signature").dropDuplicates(["node"])
-    left, right = one.alias("l"), one.select(*[F.col(c) for c in one.columns]).alias("r")
+    pairs = rows.select("key", "node").join(chosen, "key").where("node <> chosen").select("node", "chosen").distinct()
+    left, right = nodes.alias("l"), nodes.select(*[F.col(c) for c in nodes.columns]).alias("r")
     both = pairs.alias("p").join(left, F.col("p.node") == F.col("l.node")).join(
         right, F.col("p.chosen") == F.col("r.node")
     )
@@ -219,50 +272,45 @@ def _star_links(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return _confirmed(best, full, percent)
 
 
-def _other_links(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _other_links(rows: DataFrame, nodes: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links between the groups that still share a bucket: nodes outside its largest group with all others."""
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("key").agg(F.max_by("comp", "size").alias("largest"), F.count("*").alias("groups"))
-    marked = rows.join(largest.where("groups > 1").select("key", "largest"), "key")
-    marked = stored(marked.withColumn("outside", F.col("comp") != F.col("largest")), "minhash-buckets")
+    mixed = rows.drop("comp").join(largest.where("groups > 1").select("key", "largest"), "key")
+    marked = mixed.join(nodes, "node").withColumn("outside", F.col("comp") != F.col("largest"))
+    marked = stored(marked, "minhash-buckets")
     left, right = marked.where("outside").alias("l"), marked.alias("r")
     met = left.join(right, F.col("l.key") == F.col("r.key")).where(
         (F.col("l.comp") != F.col("r.comp")) & (~F.col("r.outside") | (F.col("l.node") < F.col("r.node")))
         & _near("l", "r", percent)
     )
-    pairs = stored(met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "minhash-pairs")
-    links = stored(_confirmed(pairs, full, percent), "minhash-links")
-    for done in (pairs, marked):
-        discard(done)
-    return links
+    pairs = met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    return _confirmed(pairs, full, percent)
 
 
 def _groups(documents: DataFrame, sets: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """``digest, component``: the smallest doc_id that a set's links reach."""
-    firsts = sets.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc"))
+    usable = sets.where("digest is not null and doc_id is not null")
+    firsts = usable.groupBy("digest", "short").agg(F.min("doc_id").alias("doc"))
     nodes = stored(firsts.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
-    same = (sets["digest"] == nodes["digest"]) & (sets["doc_id"] == nodes["doc"])
-    own = sets.join(nodes, same).select("node", nodes["doc"], nodes["digest"], "n_shingles", "bands", "signature")
-    # Rows of keys that several nodes have; few documents have any.
-    keyed = own.select("node", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = stored(keyed.join(shared.select("key"), "key").distinct(), "minhash-members")
-    within = members.select("node").distinct()
-    details = stored(
-        own.join(within, "node").select("node", "doc", "digest", F.col("n_shingles").alias("n"), "signature")
-        .dropDuplicates(["node"]), "minhash-details",
-    )
+    # Rows of keys that several sets have; few documents have any. Copies fall together in the map tasks.
+    keyed = usable.select("short", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo < hi")
+    met = keyed.join(shared.select("key"), "key").distinct()
+    members = stored(met.join(nodes.select("short", "node"), "short").select("key", "node"), "minhash-members")
+    within = nodes.join(members.select("node").distinct(), "node").select("node", "doc", "digest")
+    wide = usable.select("doc_id", "digest", F.col("n_shingles").alias("n"), "signature", "parities")
+    same = (wide["digest"] == within["digest"]) & (wide["doc_id"] == within["doc"])
+    own = wide.join(within, same).select("node", "doc", within["digest"], "n", "signature", "parities")
+    details = stored(own.dropDuplicates(["node"]), "minhash-details")
     full = stored(_full_sets(documents, details, shingle_words), "minhash-sets")
 
-    def rows(groups: DataFrame, first: bool = False) -> DataFrame:
-        chosen = members.where(F.col("key").bitwiseAND(BANDS - 1) < FIRST_BANDS) if first else members
-        return chosen.join(groups, "node").join(details.select("node", "n", "signature"), "node")
-
+    early = members.where(F.col("key").bitwiseAND(BANDS - 1) < FIRST_BANDS)
     groups = details.select("node", F.col("node").alias("comp"))
-    for first in (True, False):
-        links = _star_links(rows(groups, first), full, percent)
+    known = details.select("node", "n", "signature", "parities")
+    for find, among in ((_star_links, early), (_star_links, members), (_other_links, members)):
+        links = find(among.join(groups, "node"), known.join(groups, "node"), full, percent)
         groups = _merged(groups, stored(links, "minhash-links"), "minhash-groups")
-    groups = _merged(groups, _other_links(rows(groups), full, percent), "minhash-groups")
     for done in (members, full):
         discard(done)
     # Ids with several sets make these sets one.
