@@ -34,7 +34,8 @@ from tokenizers import Tokenizer
 from postlode.llm.shared import batches, stored, texts_of, worker_cache
 from postlode.llm.tokens import byte_alphabet, encoder, text_groups
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+ALIGNED_BYTES = 1 << 20  # of texts that are aligned at once
 SPACE_SIGN = "▁"
 _B_BITS = 32  # of a pair's code, the lower ones hold the second id
 _MOST_IDS = 10**7  # an id of seven digits and a separator fill eight bytes
@@ -45,11 +46,13 @@ def diagonal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     The last ends must be equal. What lies between two runs belongs to the group that the next run's first ends close.
     """
+    b = b.astype(a.dtype, copy=False)
     a_list, b_list = a.tolist(), b.tolist()
-    a_bytes, b_bytes, size = a.tobytes(), b.tobytes(), a.itemsize
+    a_bytes, b_bytes, one = a.tobytes(), b.tobytes(), a.itemsize
+    count, end = len(a_list), len(a_bytes)
     i = j = 0
     starts_a, starts_b, lengths = [], [], []
-    while i < len(a_list):
+    while i < count:
         x, y = a_list[i], b_list[j]
         while x != y:
             if x < y:
@@ -58,16 +61,19 @@ def diagonal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             else:
                 j += 1
                 y = b_list[j]
-        done, step, growing = 1, 1, True
-        most = min(len(a_list) - i, len(b_list) - j)
-        while done < most and step:
-            to = min(done + step, most)
-            if a_bytes[size * (i + done) : size * (i + to)] == b_bytes[size * (j + done) : size * (j + to)]:
-                done = to
-                step = step * 2 if growing else step // 2
-            else:
-                growing = False
-                step //= 2
+        at, to, step = one * (i + 1), one * (j + 1), one
+        # Behind the last end a stretch is cut short; one side's alone is then unlike the other's.
+        while at < end and a_bytes[at : at + step] == b_bytes[to : to + step]:
+            at += step
+            to += step
+            step += step
+        at = min(at, end)
+        while step > one and at < end:
+            step >>= 1
+            if a_bytes[at : at + step] == b_bytes[to : to + step]:
+                at += step
+                to += step
+        done = min(at, end) // one - i
         starts_a.append(i)
         starts_b.append(j)
         lengths.append(done)
@@ -83,6 +89,21 @@ def group_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(starts_a, lengths) + within, np.repeat(starts_b, lengths) + within
 
 
+class _Entries:
+    """The bytes of each id, one behind the other."""
+
+    def __init__(self, entries: list[bytes]):
+        self._flat = np.frombuffer(b"".join(entries), np.uint8)
+        self.sizes = np.array([len(x) for x in entries], np.int32)
+        self._starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        places = np.cumsum(sizes, dtype=np.int64)
+        shift = np.repeat(self._starts[ids] - (places - sizes), sizes)
+        return self._flat[shift + np.arange(len(shift))].tobytes()
+
+
 class TokenizerPair:
     """A byte-level vocabulary, which reads a space and the text, and a piece model, which adds the space."""
 
@@ -91,39 +112,41 @@ class TokenizerPair:
         self._b = SentencePieceProcessor(model_file=pieces)
         alphabet = byte_alphabet()
         vocabulary = Tokenizer.from_file(byte_level).get_vocab(with_added_tokens=True)
-        self._a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        first = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             known = all(c in alphabet for c in token)
-            self._a_bytes[number] = bytes(alphabet[c] for c in token) if known else token.encode()
-        self._b_bytes = []
+            first[number] = bytes(alphabet[c] for c in token) if known else token.encode()
+        second = []
         for number in range(self._b.get_piece_size()):
             piece = self._b.id_to_piece(number)
             byte = self._b.is_byte(number)
-            self._b_bytes.append(bytes([int(piece[1:-1], 16)]) if byte else piece.replace(SPACE_SIGN, " ").encode())
-        self._a_sizes = np.array([len(x) for x in self._a_bytes], np.int64)
-        self._b_sizes = np.array([len(x) for x in self._b_bytes], np.int64)
-        if max(len(self._a_bytes), len(self._b_bytes)) > _MOST_IDS:
+            second.append(bytes([int(piece[1:-1], 16)]) if byte else piece.replace(SPACE_SIGN, " ").encode())
+        if max(len(first), len(second)) > _MOST_IDS:
             raise ValueError(f"ids of {_MOST_IDS} and more are not written")
+        self._entries = _Entries(first), _Entries(second)
 
     def align(self, texts: pa.Array) -> Alignment:
         plain = texts.to_pylist()
         there = [k for k, t in enumerate(plain) if t]
         spaced = [" " + plain[k] for k in there]
-        a_ids = [ids.astype(np.int64) for ids, _ in self._a.encode(pa.array(spaced, pa.string()))]
+        a_ids = [ids.astype(np.int32) for ids, _ in self._a.encode(pa.array(spaced, pa.string()))]
         b_ids = self._b.encode([plain[k] for k in there], num_threads=1)
-        none = np.empty(0, np.int64)
-        a, b = [none] * len(plain), [none] * len(plain)
-        for k, text, ids, others in zip(there, spaced, a_ids, b_ids, strict=True):
-            whole = text.encode()
-            if b"".join(map(self._b_bytes.__getitem__, others)) != whole:
-                continue
-            if b"".join(map(self._a_bytes.__getitem__, ids.tolist())) != whole:
-                continue
-            a[k], b[k] = ids, np.array(others, np.int64)
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a, b))
-        a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
-        ends = np.cumsum(self._a_sizes[a])
-        last_a, last_b = group_ends(ends, np.cumsum(self._b_sizes[b]))
+        whole = [x.encode() for x in spaced]
+        sides = a_ids, [np.array(x, np.int32) for x in b_ids]
+        none = np.empty(0, np.int32)
+        flat = [np.concatenate([none, *ids]) for ids in sides]
+        if any(e.joined(ids) != b"".join(whole) for e, ids in zip(self._entries, flat, strict=True)):
+            for k, text in enumerate(whole):
+                if any(e.joined(ids[k]) != text for e, ids in zip(self._entries, sides, strict=True)):
+                    for ids in sides:
+                        ids[k] = none
+            flat = [np.concatenate([none, *ids]) for ids in sides]
+        counts = np.zeros((2, len(plain)), np.int64)
+        for side, ids in zip(counts, sides, strict=True):
+            side[there] = [len(x) for x in ids]
+        (a, b), (n_a, n_b) = flat, counts
+        ends, others = (np.cumsum(e.sizes[ids], dtype=np.int32) for e, ids in zip(self._entries, flat, strict=True))
+        last_a, last_b = group_ends(ends, others)
         # A text's groups are those whose last id is one of its own.
         reached = np.searchsorted(last_a, np.cumsum(n_a), side="left")
         n_groups = np.diff(np.concatenate([[0], reached]))
@@ -145,7 +168,7 @@ class Alignment:
 
     def links(self) -> np.ndarray:
         """Codes of the linked ids, a link per group: no id is without bytes, so no two of a side end together."""
-        return (self.a[self.last_a] << _B_BITS) | self.b[self.last_b]
+        return (self.a[self.last_a].astype(np.int64) << _B_BITS) | self.b[self.last_b]
 
     def written(self) -> list[bytes]:
         """Each text's groups: ``a1,a2|b1;a3|b2,b3``."""
@@ -188,7 +211,7 @@ def groups(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         pair = tokenizer_pair(byte_level, pieces)
         for batch in batches(iterator):
             low = 0
-            for texts in text_groups(batch.column(1)):
+            for texts in text_groups(batch.column(1), ALIGNED_BYTES):
                 found = pair.align(texts)
                 ends = found.ends[found.last_a] - 1  # without the leading space
                 starts = np.concatenate([[0], np.cumsum(found.n_groups)])
@@ -224,7 +247,7 @@ def _packed(numbers: np.ndarray) -> bytes:
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=max(1, 4 * n)), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
 
 
 def _chunks(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
@@ -234,10 +257,14 @@ def _chunks(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     def chunk(number: int, ids: list[pa.Array], parts: list[tuple]) -> pa.RecordBatch:
         n_a, n_b, n_groups = (np.concatenate([p[k] for p in parts]) for k in range(3))
         digests = [d for p in parts for d in p[3]]
-        pairs, where, counts = np.unique(np.concatenate([p[4] for p in parts]), return_inverse=True, return_counts=True)
+        own, where, times = zip(*(p[4] for p in parts), strict=True)
+        pairs, place = np.unique(np.concatenate(own), return_inverse=True)
+        counts = np.bincount(place, np.concatenate(times), len(pairs)).astype(np.int64)
         order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(pairs), np.int64)
-        rank[order] = np.arange(len(pairs))
+        rank = np.empty(len(pairs), np.uint32)
+        rank[order] = np.arange(len(pairs), dtype=np.uint32)
+        firsts = np.cumsum([0, *(len(x) for x in own)]).tolist()
+        numbers = [rank[place[low : low + len(x)]][w] for low, x, w in zip(firsts, own, where)]
         rows = pa.StructArray.from_arrays(
             [pa.concat_arrays(ids), *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(digests)],
             ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"],
@@ -245,7 +272,7 @@ def _chunks(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         columns = [
             pa.array([number]), pa.ListArray.from_arrays([0, len(rows)], rows),
             *(pa.ListArray.from_arrays([0, len(x)], pa.array(x, pa.int64())) for x in (pairs[order], counts[order])),
-            pa.array([_packed(rank[where])], pa.binary()),
+            pa.array([_packed(np.concatenate(numbers))], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["chunk", "documents", "pairs", "counts", "links"])
 
@@ -257,11 +284,12 @@ def _chunks(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         ids, parts, size = [], [], 0
         for batch in batches(iterator):
             low = 0
-            for texts in text_groups(batch.column(1)):
+            for texts in text_groups(batch.column(1), ALIGNED_BYTES):
                 found = pair.align(texts)
                 digests = [hashlib.sha256(g).hexdigest() if g else "" for g in found.written()]
                 ids.append(batch.column(0).slice(low, len(texts)))
-                parts.append((found.n_a, found.n_b, found.n_groups, digests, found.links()))
+                pairs, where, times = np.unique(found.links(), return_inverse=True, return_counts=True)
+                parts.append((found.n_a, found.n_b, found.n_groups, digests, (pairs, where.astype(np.uint32), times)))
                 low += len(texts)
                 size += (pc.sum(pc.binary_length(texts)).as_py() or 0) + 16 * len(texts)
                 if size >= CHUNK_BYTES:
@@ -310,14 +338,17 @@ def digests(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
                 n = n_groups.to_numpy()
                 links = _unpacked(row["links"][0].as_py(), int(n.sum()))
                 found = row["answers"].flatten()
-                at, value = (x.to_numpy() for x in found.flatten()) if len(found) else (links, links)
                 values = np.zeros(len(found), np.int64)
-                values[at] = value
-                ends = np.cumsum(n)
-                sums = [np.concatenate([[0], np.cumsum(x)]) for x in (values[links] & 1, values[links] >> 1)]
-                best, total = (s[ends] - s[ends - n] for s in sums)
+                if len(found):
+                    at, value = (x.to_numpy() for x in found.flatten())
+                    values[at] = value
+                best, total = [], []
+                for low, high in zip((np.cumsum(n) - n).tolist(), np.cumsum(n).tolist(), strict=True):
+                    own = values[links[low:high]]
+                    best.append(int((own & 1).sum()))
+                    total.append(int((own >> 1).sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [doc_id, n_a, n_b, n_groups, n_groups, pa.array(best), pa.array(total), sha],
+                    [doc_id, n_a, n_b, n_groups, n_groups, pa.array(best, pa.int64()), pa.array(total, pa.int64()), sha],
                     [c.split()[0] for c in RESULT.split(", ")],
                 )
 
