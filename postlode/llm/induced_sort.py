@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
-# Names of LMS substrings over a larger alphabet are ranked by doubling: one bucket at a time would be slow.
+# Names of LMS substrings over a larger alphabet are ranked by doubling: one bucket at a time would be slow. Places are
+# 32-bit numbers, so a text has less than 2^31 symbols.
 LARGEST_ALPHABET = 2048
 
 
@@ -19,7 +20,7 @@ def _types(s: np.ndarray) -> np.ndarray:
     n = len(s)
     differs = np.append(s[1:] != s[:-1], True)
     smaller = np.append(s[:-1] < s[1:], False)
-    at = np.where(differs, np.arange(n), n)
+    at = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n))
     return smaller[np.minimum.accumulate(at[::-1])[::-1]]
 
 
@@ -38,7 +39,7 @@ def _append(sa: np.ndarray, heads: np.ndarray, found: np.ndarray, chars: np.ndar
 def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
     """The suffix array that follows from LMS suffixes in the order given."""
     n = len(s)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     counts = np.bincount(s, minlength=sigma)
     ends = np.cumsum(counts)
     starts = ends - counts
@@ -86,7 +87,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sigma: int) -> np.
 def _names(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Names of the LMS substrings, equal ones alike, in the order of the text."""
     n, m = len(s), len(lms)
-    length = np.zeros(n, np.int64)
+    length = np.zeros(n, np.int32)
     # A substring reaches to the next LMS position; the last one is unlike all others.
     length[lms[:-1]] = np.diff(lms) + 1
     length[lms[-1]] = n - lms[-1] + 1
@@ -101,7 +102,7 @@ def _names(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, ordered: np.ndarray
         same[rest[~equal]] = False
         rest = rest[equal]
         k += 1
-    names = np.empty(n, np.int64)
+    names = np.empty(n, np.int32)
     names[ordered] = np.concatenate([[0], np.cumsum(~same)])
     return names[lms]
 
@@ -134,7 +135,7 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
     if sigma > LARGEST_ALPHABET:
         return _by_doubling(s, depth or n)
     is_s = _types(s)
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    lms = (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(np.int32)
     if not len(lms):
         return _induce(s, is_s, lms, sigma)
     rough = _induce(s, is_s, lms, sigma)
@@ -155,12 +156,12 @@ def permuted_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray
     ``data`` holds 16-bit symbols; zero separates strings and matches nothing. Four symbols are compared at once.
     """
     n = len(data)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     padded = np.concatenate([data.astype("<u2"), np.zeros(most + 8, "<u2")])
     words = np.ndarray(n + most + 4, "<u8", padded.data, strides=(2,))
-    plcp = np.zeros(n, np.int64)
-    rest = np.flatnonzero(before >= 0)
+    plcp = np.zeros(n, np.int32)
+    rest = np.flatnonzero(before >= 0).astype(np.int32)
     other = before[rest]
     for k in range(0, most, 4):
         differ = words[rest + k] ^ words[other + k]
@@ -173,6 +174,7 @@ def permuted_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray
         if not len(rest):
             break
     plcp[rest] = most
-    zeros = np.flatnonzero(data == 0)
-    ends = np.append(zeros, n)[np.searchsorted(zeros, np.arange(n))]
-    return np.minimum(np.minimum(plcp, most), ends - np.arange(n))
+    zeros = np.flatnonzero(data == 0).astype(np.int32)
+    ends = np.append(zeros, np.int32(n))
+    left = np.repeat(ends, np.diff(ends, prepend=np.int32(-1)))[:n] - np.arange(n, dtype=np.int32)
+    return np.minimum(plcp, left, out=plcp)

@@ -39,7 +39,7 @@ GRAM = 16
 GROUP_BYTES = 3 << 20
 SLICE = 1 << 20
 # Of text before any is dropped; what reaches a shard is a fraction of it.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 5 << 20
 NULL_ID = np.iinfo(np.int64).max
 _MULTIPLIER = 0x9E3779B97F4A7C15
 GROUP = "grp long, ids binary, sizes binary, nulls binary, body binary"
@@ -150,14 +150,15 @@ def _hash_rows(shards: int):
                 np.maximum.at(most, where, group.ids[doc])
                 several = least != most
                 shard = (unique >> np.uint64(32)).astype(np.int64)
-                cuts = np.searchsorted(shard, np.arange(shards + 1)).tolist()
+                there, cuts = np.unique(shard, return_index=True)
                 keys = unique.astype(np.uint32)
-                there = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
-                if there:
+                ends = [*cuts.tolist(), len(keys)]
+                pieces = list(zip(ends[:-1], ends[1:], strict=True))
+                if pieces:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(there, pa.int32()), pa.array([group.number] * len(there)),
-                         pa.array([keys[cuts[k] : cuts[k + 1]].tobytes() for k in there], pa.binary()),
-                         pa.array([np.packbits(several[cuts[k] : cuts[k + 1]]).tobytes() for k in there], pa.binary())],
+                         pa.array([keys[a:b].tobytes() for a, b in pieces], pa.binary()),
+                         pa.array([np.packbits(several[a:b]).tobytes() for a, b in pieces], pa.binary())],
                         ["shard", "grp", "keys", "several"],
                     )
 
@@ -211,15 +212,13 @@ def _candidates(shards: int):
         order = np.argsort(of_string, kind="stable")
         place = np.empty(len(strings), np.int64)
         out = []
-        cuts = np.searchsorted(of_string[order], np.arange(shards + 1)).tolist()
+        there, cuts = np.unique(of_string[order], return_index=True)
         packer = zstandard.ZstdCompressor(level=1)
-        for k in range(shards):
-            own = order[cuts[k] : cuts[k + 1]]
-            if len(own):
-                place[own] = np.arange(len(own))
-                chosen = [bodies[i] for i in own.tolist()]
-                sizes = np.array([len(b) for b in chosen], np.int32)
-                out.append((group.number, k, sizes.tobytes(), least[own].tobytes(), packer.compress(b"".join(chosen))))
+        for k, own in zip(there.tolist(), np.split(order, cuts[1:]), strict=True) if len(order) else ():
+            place[own] = np.arange(len(own))
+            chosen = [bodies[i] for i in own.tolist()]
+            sizes = np.array([len(b) for b in chosen], np.int32)
+            out.append((group.number, k, sizes.tobytes(), least[own].tobytes(), packer.compress(b"".join(chosen))))
         members = np.stack([start, count, of_string[number], place[number]]).astype(np.int64)
         out.append((group.number, -1, b"", b"", packer.compress(members.tobytes())))
         return out
@@ -262,13 +261,15 @@ def _decide_shard(table: pa.Table) -> pa.Table:
     symbols[np.arange(len(data)) + np.repeat(np.arange(len(length)), length)] = data.astype(np.uint16) + 1
     sa = suffix_array(symbols, 257, MATCH)
     plcp = permuted_prefixes(symbols, sa, MATCH)
-    of = np.repeat(np.arange(len(length)), length + 1)
     first = plcp[sa] < MATCH
+    del plcp, symbols, data
+    of = np.repeat(np.arange(len(length), dtype=np.int32), length + 1)
     first[0] = True
     heads = np.flatnonzero(first)
     smallest = np.empty(len(sa), np.int64)
     # A start with fewer bytes left has a class of its own.
     smallest[sa] = np.repeat(np.minimum.reduceat(least[of[sa]], heads), np.diff(np.append(heads, len(sa))))
+    del sa, first
     # Windows of a string in a row with the same document become one run.
     windows = length - MATCH + 1
     at = np.arange(int(windows.sum())) + np.repeat(begin - (np.cumsum(windows) - windows), windows)

@@ -11,7 +11,7 @@ import xxhash
 from llm.helpers import documents, frame, prose, same_rows
 from tokenizers import Tokenizer
 
-from postlode.llm import golay, packing, pfor, phrase_index, simhash, suffix_dedup
+from postlode.llm import golay, induced_sort, packing, pfor, phrase_index, simhash, suffix_dedup
 from postlode.llm.components import components
 from postlode.llm.tokens import ChunkEncoder
 
@@ -300,3 +300,21 @@ class TestSuffixDedup:
 
     def test_empty_table(self, spark):
         assert suffix_dedup.digests(frame(spark, [])).count() == 0
+
+    @pytest.mark.parametrize(("letters", "depth"), [(2, None), (4, 50), (40, 50), (256, None)])
+    def test_hundred_thousand_symbols(self, letters, depth):
+        rng = np.random.default_rng(letters)
+        data = rng.integers(1, letters + 1, 100_000).astype(np.uint16)
+        data[60_000:60_400] = data[10_000:10_400]  # a long repeat
+        data[::997] = 0
+        raw = data.astype(">u2").tobytes()
+        width = 2 * (depth or 600)
+        found = induced_sort.suffix_array(data, letters + 1, depth)
+        keys = [raw[2 * i : 2 * i + width] for i in found.tolist()]
+        assert keys == sorted(keys) and sorted(found.tolist()) == list(range(100_000))
+        common = induced_sort.permuted_prefixes(data, found, 50)
+        for place in rng.integers(1, 100_000, 500).tolist():
+            a, b, k = int(found[place]), int(found[place - 1]), 0
+            while k < 50 and max(a, b) + k < 100_000 and data[a + k] == data[b + k] != 0:
+                k += 1
+            assert common[a] == k
