@@ -170,14 +170,21 @@ def unescape_html(c: Column | str) -> Column:
     standard as Python lists them, read while the plan is built.
     """
     text = _col(c)
-    found = F.regexp_extract_all(text, F.lit(rf"{_REFERENCE}|[^&]+|&"), F.lit(0))
-    decoded = F.transform(
-        found,
-        lambda p: F.when(p.rlike("^&#[0-9xX]"), _by_code(p))
-        .when(p.startswith("&") & (F.length(p) > 1), _by_name(p))
-        .otherwise(p),
-    )
-    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
+    parts = F.split(text, "&")
+
+    def decoded(part: Column) -> Column:
+        reference = F.regexp_extract(F.concat(F.lit("&"), part), f"^{_REFERENCE}", 0)
+        return F.transform(F.array(reference), lambda r: _decoded_head(r, part))[0]
+
+    behind = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    return F.when(text.contains("&"), F.concat(parts[0], F.array_join(behind, ""))).otherwise(text)
+
+
+def _decoded_head(reference: Column, part: Column) -> Column:
+    """The text behind an ampersand, with the reference that they begin decoded; the ampersand stays if there is none."""
+    rest = F.substring(part, F.length(reference), F.length(part))
+    character = F.when(reference.rlike("^&#"), _by_code(reference)).otherwise(_by_name(reference))
+    return F.when(reference == "", F.concat(F.lit("&"), part)).otherwise(F.concat(character, rest))
 
 
 def contains_any(c: Column | str, words: Iterable[str]) -> Column:

@@ -146,3 +146,33 @@ def test_payload_is_parsed_once_per_row(spark):
     kept = landing.with_payload(df, schemas.SOURCE_B_LANDING).where(landing.keep_source_b())
     plan = kept.select("p.id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+ODD_JSON = (
+    '{ "id" : "k-7",\t"salary_min":0.0, "a":1e2, "b":-0.0,"c":12345678901234567890123456789012345678901234567890,'
+    ' "position":"Data &amp; More \\/ \\u00e9", "s":"lone \\ud800 \\/ \\u00e9 &amp;", "a":1.50, "position":"SQL &lt;x&gt;",'
+    '"LONG":{"company":"T &amp; C","x":["Ã¼", "Ã¼\\"\\u00c3\\u00bc:", ":"]},"co\\u006dpany":"Tern &amp; Ã¼","e":{},"f":[]}'
+)
+
+
+def test_only_the_strings_that_change_are_rewritten(spark):
+    long = "Ã¼" * 2500
+    text = ODD_JSON.replace("LONG", long)
+    df = spark.createDataFrame([(text, 0)], "payload string, position int")
+    got = keyed_batch(SOURCE_A, df).first().payload
+    expected = text.replace("Data &amp; More \\/ \\u00e9", "Data & More / é").replace("&lt;x&gt;", "<x>")
+    expected = expected.replace('"Ã¼",', '"ü",').replace('Ã¼\\"\\u00c3\\u00bc:', 'ü\\"ü:').replace("Tern &amp; Ã¼", "Tern & ü")
+    assert got == expected and long in got
+
+
+def test_another_field_does_not_change_a_number(spark):
+    rows = [(f'{{"id":"{i}","position":"Data","company":"{c}","salary_min":0.0,"tags":[]}}', i) for i, c in ((1, "Tern &amp; Co"), (2, "Tern Co"))]
+    df = spark.createDataFrame(rows, "payload string, position int")
+    for row in keyed_batch(SOURCE_A, df).collect():
+        assert '"salary_min":0.0,' in row.payload
+
+
+def test_thousands_of_escapes_need_no_stack(spark):
+    text = json.dumps({"id": "1", "position": "Data " + damage("ü"), "description": 'a\n"b" \\ ' * 20_000 + damage("é")}, ensure_ascii=False)
+    df = spark.createDataFrame([(text, 0)], "payload string, position int")
+    assert json.loads(keyed_batch(SOURCE_A, df).first().payload)["description"].endswith("\\ é")
