@@ -116,22 +116,23 @@ def _pieces(spark: SparkSession, path: str, opening: str, level: int) -> DataFra
     return inner.unionByName(joined).withColumnRenamed("piece", "at")
 
 
-def _postings(pieces: DataFrame) -> DataFrame:
-    return pieces.select(
-        F.col("object").alias("payload"),
+def _postings(pieces: DataFrame, is_posting: Column, text: Column) -> DataFrame:
+    # Other pieces are no JSON; the condition in the payload keeps them from parsers that a later filter brings here.
+    return pieces.where(is_posting).select(
+        F.when(is_posting, text).alias("payload"),
         F.struct("file", F.col("block").cast("long").alias("block"), F.col("at").cast("long").alias("at")).alias("position"),
     )
 
 
 def read_array_dump(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of postings (one API response per file)."""
-    pieces = _pieces(spark, path, "[", 1).where("depth = 1").select(
+    pieces = _pieces(spark, path, "[", 1).select(
         "*", F.regexp_extract("text", _PREFIX_AND_OBJECT, 1).alias("prefix"),
         F.regexp_extract("text", _PREFIX_AND_OBJECT, 2).alias("object"),
     )
     plain = F.regexp_replace("prefix", r"^\s*+\[", "").rlike(_ONLY_COMMAS) & (F.col("object") != "")
     failed = F.raise_error(F.concat(F.lit("malformed dump, not an array of objects: "), "file")).cast("string")
-    return _postings(pieces.withColumn("object", F.when(plain, F.col("object")).otherwise(failed)))
+    return _postings(pieces, F.col("depth") == 1, F.when(plain, F.col("object")).otherwise(failed))
 
 
 def read_envelope_dump(spark: SparkSession, path: str, field: str = "jobs") -> DataFrame:
@@ -152,7 +153,7 @@ def read_envelope_dump(spark: SparkSession, path: str, field: str = "jobs") -> D
     carried = last.select("file", "block", F.last("mark", ignorenulls=True).over(before).alias("carried"))
     so_far = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     here = marked.withColumn("mark", F.last("mark", ignorenulls=True).over(so_far)).join(carried, ["file", "block"])
-    return _postings(here.where((F.col("depth") == 2) & (F.coalesce("mark", "carried") == field)))
+    return _postings(here, (F.col("depth") == 2) & (F.coalesce("mark", "carried") == field), F.col("object"))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
