@@ -184,7 +184,7 @@ CANDIDATES = "grp long, shard int, sizes binary, docs binary, body binary"
 
 
 def _candidates(shards: int):
-    """Strings of runs with shared codes, by shard, and, as shard -1, where the group's runs are."""
+    """Strings of runs with shared codes, by shard, and, with a number below zero, where the group's runs are."""
 
     def rows_of(group: Group, listed: list[dict]) -> list[tuple]:
         codes, start, count, doc = group.runs(shards)
@@ -220,7 +220,8 @@ def _candidates(shards: int):
             sizes = np.array([len(b) for b in chosen], np.int32)
             out.append((group.number, k, sizes.tobytes(), least[own].tobytes(), packer.compress(b"".join(chosen))))
         members = np.stack([start, count, of_string[number], place[number]]).astype(np.int64)
-        out.append((group.number, -1, b"", b"", packer.compress(members.tobytes())))
+        kept_at = -1 - (group.number ^ group.number >> 33) % shards
+        out.append((group.number, kept_at, b"", b"", packer.compress(members.tobytes())))
         return out
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +241,8 @@ def _candidates(shards: int):
 
 def _decide_shard(table: pa.Table) -> pa.Table:
     """For each group's strings, runs of starts with the smallest document that has the 50 bytes there."""
+    if table.column("shard")[0].as_py() < 0:  # not strings but places, which wait for the results
+        return table.select(["grp", "shard", "body"])
     rows = table.to_pylist()
     sizes = [np.frombuffer(r["sizes"], np.int32) for r in rows]
     docs = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
@@ -344,13 +347,8 @@ def _results(documents: DataFrame) -> DataFrame:
     shared = hashes.groupBy("shard").applyInArrow(_shared_codes, "grp long, shard int, shared binary")
     by_group = shared.groupBy("grp").agg(F.collect_list(F.struct("shard", "shared")).alias("listed"))
     marked = groups.join(by_group.hint("merge"), "grp")
-    candidates = stored(marked.mapInArrow(_candidates(shards), CANDIDATES), "suffix-candidates")
-    decided = (
-        candidates.where("shard >= 0")
-        .groupBy("shard")
-        .applyInArrow(_decide_shard, "grp long, shard int, body binary")
-        .unionByName(candidates.where("shard < 0").select("grp", "shard", "body"))
-    )
+    candidates = marked.mapInArrow(_candidates(shards), CANDIDATES)
+    decided = candidates.groupBy("shard").applyInArrow(_decide_shard, "grp long, shard int, body binary")
     lists = decided.groupBy("grp").agg(F.collect_list(F.struct("shard", "body")).alias("listed"))
     return groups.join(lists.hint("merge"), "grp", "left")
 
