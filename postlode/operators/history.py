@@ -25,4 +25,4 @@ def append_snapshot(table: Table, rows: DataFrame, day: date) -> None:
     day keeps its earlier row. Only that day's part is read or written.
     """
     merged = replace_by_key(table.read([str(day)]), rows, ["snapshot_date", "skill_id"])
-    table.replace_parts(merged, F.col("snapshot_date"), replaced=[str(day)])
+    table.replace_parts(merged, F.col("snapshot_date"))

@@ -60,21 +60,18 @@ def upsert(
 
 
 def upsert_table(table: Table, batch: DataFrame, now: datetime) -> None:
-    """Upsert a keyed batch into a published table cut by last-seen day.
+    """Upsert a keyed batch into a published table cut by first-seen day.
 
-    A batch mostly holds postings seen in the last few runs, so the keys are
-    first looked up in the narrow key and time columns, and only the days that
-    hold one of them are rewritten. Every other key of the batch is new. The
-    rest of the table, which grows without end, is neither shuffled nor copied.
+    A key's first-seen day never changes, so it stays in its partition. The batch's keys
+    are looked up in the narrow key and time columns, and only the days that hold one of
+    them, and the day of ``now``, where new keys go, are rewritten. The rest of the table,
+    which grows without end, is neither shuffled nor copied.
     """
-    day = F.to_date("last_seen_at")
-    keys = batch.select("job_id")
-    touched = (
-        table.read().select("job_id", day.alias("day")).join(keys, "job_id", "left_semi")
-        .select("day").distinct().collect()  # at most one row per day of history
-    )
-    days = [str(r.day) for r in touched]
-    table.replace_parts(upsert(table.read(days), batch, now), day, replaced=days)
+    day = F.to_date("first_seen_at")
+    known = table.read().select("job_id", day.alias("day")).join(batch.select("job_id"), "job_id", "left_semi")
+    today = table.spark.range(1).select(F.to_date(F.lit(now).cast("timestamp")).alias("day"))
+    touched = known.select("day").union(today).distinct().collect()  # at most one row per day of history
+    table.replace_parts(upsert(table.read([str(r.day) for r in touched]), batch, now), day)
 
 
 def replace_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,28 +1,24 @@
-"""Published tables: parquet folders that change in one step.
+"""Published tables: parquet folders cut into partitions that a write replaces.
 
-A write goes to a new folder. It becomes visible when one line is appended to
-the table's log, which names the folders that make up the table. Readers keep
-the folders of the line they saw; a run that dies before that line leaves the
-table as it was. A table may be cut into parts by date, so that a write
-replaces the parts it touches and leaves the others where they are.
+Writes use Spark's dynamic partition overwrite: tasks write beside the table, and the job's commit puts
+whole partitions in place of those of the same name, so a job that fails leaves the table as it was and
+may read what it replaces. A driver lost within the commit itself, while folders are renamed, may leave
+some partitions old, and one absent whose files are still in the hidden staging folder.
 
-One writer per table at a time, as one daily run gives.
+One writer per table at a time, as one daily run gives. The file system must have renames.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WHOLE = "all"
-_FOLDER = T.StructType().add("part", T.StringType()).add("folder", T.StringType())
-_LOG = T.StructType().add("version", T.LongType()).add("folders", T.ArrayType(_FOLDER))
+PART, WHOLE = "part", "all"
 
 
 def _is_missing(error: AnalysisException) -> bool:
@@ -35,68 +31,56 @@ class Table:
     path: str
     schema: T.StructType
 
-    def _state(self) -> tuple[int, list[tuple[str, str]]]:
+    def _scan(self) -> DataFrame | None:
+        schema = T.StructType([*self.schema.fields, T.StructField(PART, T.StringType())])
         try:
-            log = self.spark.read.schema(_LOG).json(f"{self.path}/log")
+            return self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
             if _is_missing(error):
-                return 0, []
+                return None
             raise
-        last = log.orderBy(F.desc("version")).limit(1).collect()
-        return (last[0].version, [tuple(f) for f in last[0].folders]) if last else (0, [])
 
     def exists(self) -> bool:
-        return self._state()[0] > 0
-
-    def parts(self) -> list[str]:
-        return sorted({part for part, _ in self._state()[1]})
+        return self._scan() is not None
 
     def read(self, parts: Iterable[str] | None = None) -> DataFrame:
-        """The table, or the named parts of it; no rows if nothing was published yet."""
-        wanted = None if parts is None else set(parts)
-        folders = [f for part, f in self._state()[1] if wanted is None or part in wanted]
-        if not folders:
+        """The table, or the named partitions of it; no rows if nothing was published yet."""
+        rows = self._scan()
+        if rows is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in folders])
+        if parts is not None:
+            rows = rows.where(F.col(PART).isin(list(parts)))
+        return rows.select(*self.schema.names)
 
-    def _publish(self, version: int, folders: list[tuple[str, str]]) -> None:
-        line = self.spark.createDataFrame([(version, folders)], _LOG)
-        line.coalesce(1).write.mode("append").json(f"{self.path}/log")
+    def _empty(self, mode: str) -> None:
+        none = self.spark.createDataFrame([], self.schema).withColumn(PART, F.lit(WHOLE))
+        none.write.mode(mode).partitionBy(PART).parquet(self.path)
 
     def ensure(self) -> None:
-        """Publish an empty table if there is none."""
-        if not self.exists():
-            self._publish(1, [])
+        """Make an empty table if there is none."""
+        self._empty("ignore")
 
     def overwrite(self, df: DataFrame) -> None:
-        """Replace the whole table."""
-        version, _ = self._state()
-        folder = f"data/{uuid.uuid4().hex}"
-        df.select(*self.schema.names).write.parquet(f"{self.path}/{folder}")
-        self._publish(version + 1, [(WHOLE, folder)])
+        """Replace the whole table, which is one partition."""
+        written = Observation()
+        counted = df.select(*self.schema.names).observe(written, F.count(F.lit(1)).alias("rows"))
+        self._write(counted.withColumn(PART, F.lit(WHOLE)))
+        if not written.get["rows"]:  # no partition was written, so none was replaced
+            self._empty("overwrite")
 
-    def replace_parts(self, df: DataFrame, part: Column, replaced: Iterable[str]) -> None:
-        """Write ``df`` cut by ``part`` in place of the parts named in ``replaced``.
+    def replace_parts(self, df: DataFrame, part: Column) -> None:
+        """Put ``df`` in place of the partitions it has rows of; ``df`` must hold all rows of these.
 
-        Rows of ``df`` may also belong to other parts; those folders are added.
-        ``part`` must yield a date or its text, so that parts stay few.
+        ``part`` must yield a date or its text, so that partitions stay few.
         """
-        version, folders = self._state()
-        base = f"data/{uuid.uuid4().hex}"
-        cut = df.select(*self.schema.names, part.cast("string").alias("part"))
-        # Rebalancing gathers each part into files of the advisory size and
-        # splits a part that holds most of the rows over many tasks.
-        cut.hint("rebalance", F.col("part")).write.partitionBy("part").parquet(f"{self.path}/{base}")
-        try:
-            written = self.spark.read.parquet(f"{self.path}/{base}").select("part").distinct()
-            new = [(str(r.part), f"{base}/part={r.part}") for r in written.collect()]
-        except AnalysisException as error:
-            if (error.getCondition() or "") != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            new = []  # no rows were written
-        dropped = set(replaced)
-        kept = [(p, f) for p, f in folders if p not in dropped]
-        self._publish(version + 1, kept + new)
+        cut = df.select(*self.schema.names, part.cast("string").alias(PART))
+        # Rebalancing gathers each partition into files of the advisory size and
+        # splits one that holds most of the rows over many tasks.
+        self._write(cut.hint("rebalance", F.col(PART)))
+
+    def _write(self, df: DataFrame) -> None:
+        dynamic = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dynamic.partitionBy(PART).parquet(self.path)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

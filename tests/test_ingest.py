@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import timedelta
 
 import pytest
@@ -18,6 +19,14 @@ def raw(warehouse, source="remoteok"):
     return {r.job_id: (json.loads(r.payload), r.first_seen_at, r.last_seen_at) for r in rows}
 
 
+def files(warehouse, source="remoteok"):
+    """Files of each day of a raw table."""
+    found = {}
+    for f in raw_table(warehouse, source).read().inputFiles():
+        found.setdefault(re.search("part=([^/]*)/", f).group(1), set()).add(f)
+    return found
+
+
 def naive(t):
     return t.replace(tzinfo=None)
 
@@ -80,7 +89,7 @@ def test_upsert_updates_keeps_and_inserts(spark, folder):
     assert got["remoteok_tern-1"] == (changed, t0, t1)
     assert got["remoteok_tern-3"][1:] == (t0, t0)
     assert got["remoteok_tern-4"][1:] == (t1, t1)
-    assert raw_table(warehouse, "remoteok").parts() == ["2026-08-20", "2026-08-21"]
+    assert sorted(files(warehouse)) == ["2026-08-20", "2026-08-21"]
 
 
 def test_rerun_changes_only_last_seen(spark, folder):
@@ -91,18 +100,36 @@ def test_rerun_changes_only_last_seen(spark, folder):
         after = raw(warehouse)
         assert {k: v[:2] for k, v in after.items()} == {k: v[:2] for k, v in before.items()}
         assert {v[2] for v in after.values()} == {naive(later)}
-    assert raw_table(warehouse, "remoteok").parts() == ["2026-08-22"]
+    assert sorted(files(warehouse)) == ["2026-08-20"]
 
 
 def test_days_without_a_batch_key_are_not_rewritten(spark, folder):
     warehouse = land(spark, folder)
-    table = raw_table(warehouse, "remoteok")
-    old = dict(table._state()[1])
+    old = files(warehouse)
     run_source(warehouse, SOURCE_A, dump(folder, "n", [{**A3, "id": "9"}]), clock=at(T0 + DAY))
-    now = dict(table._state()[1])
+    now = files(warehouse)
     assert now["2026-08-20"] == old["2026-08-20"] and "2026-08-21" in now
 
 
+def test_new_keys_join_those_of_an_earlier_run_of_the_day(spark, folder):
+    warehouse = land(spark, folder)
+    later = T0 + timedelta(hours=1)
+    run_source(warehouse, SOURCE_A, dump(folder, "n", [{**A3, "id": "9"}]), clock=at(later))
+    got = raw(warehouse)
+    assert sorted(got) == ["remoteok_9", "remoteok_tern-1", "remoteok_tern-3"]
+    assert got["remoteok_tern-1"][1:] == (naive(T0), naive(T0)) and got["remoteok_9"][1] == naive(later)
+
+
+def test_a_table_rebuilt_without_rows_is_empty(spark, folder):
+    table = Warehouse(spark, folder).table("t", schemas.DIM_COMPANY)
+    assert not table.exists() and table.read().count() == 0
+    for rows in ([("1", "a"), ("2", "b")], [("3", "c")], [], [("4", "d")]):
+        table.overwrite(spark.createDataFrame(rows, schemas.DIM_COMPANY))
+        assert table.exists() and sorted(map(tuple, table.read().collect())) == rows
+    table.overwrite(table.read().where("company_id > 9"))
+    assert table.exists() and table.read().count() == 0
+
+
 def test_a_repeated_key_takes_its_last_record(spark, folder):
     records = [{**A1, "url": f"u{i}"} for i in range(5)]
     warehouse = Warehouse(spark, f"{folder}/warehouse")
@@ -157,7 +184,9 @@ def test_a_write_that_dies_leaves_the_table_as_it_was(spark, folder):
     before = raw(warehouse)
     broken = table.read().withColumn("payload", F.raise_error(F.lit("lost")).cast("string"))
     with pytest.raises(Exception, match="lost"):
-        table.replace_parts(broken, F.to_date("last_seen_at"), replaced=table.parts())
+        table.replace_parts(broken, F.to_date("first_seen_at"))
+    with pytest.raises(Exception, match="lost"):
+        table.overwrite(broken)
     assert raw(warehouse) == before
 
 
