@@ -84,6 +84,11 @@ def skill_demand(dim: DataFrame, pairs: DataFrame, fact: DataFrame) -> DataFrame
     counts = pairs.groupBy("skill_id").agg(
         F.count_if("is_active").alias("active_n"), F.count(F.lit(1)).alias("all_n")
     )
+    return demand_of_counts(dim, counts, fact)
+
+
+def demand_of_counts(dim: DataFrame, counts: DataFrame, fact: DataFrame) -> DataFrame:
+    """``skill_demand`` from ``skill_id, active_n, all_n``."""
     totals = fact.agg(
         F.count_if("is_active").alias("active_postings"), F.count(F.lit(1)).alias("all_postings")
     )
