@@ -35,9 +35,8 @@ from postlode.llm.shared import batches, discard, stored
 
 HOT_WORDS = 200_000
 HOT_WORD_BYTES = 64
-# Rounds of expectation maximisation over one word in ``WARM_SHARE``, by hash, and then over all words.
-WARM_ROUNDS, ROUNDS = 3, 1
-WARM_SHARE = 16
+# Rounds of expectation maximisation, each over all distinct training words.
+ROUNDS = 4
 # Text that a task counts at once.
 GROUP_BYTES = 6 << 20
 # Words of more bytes are scored one by one.
@@ -262,12 +261,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return stored(counted.groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
 
 
-def fit_scores(
-    counts: DataFrame, path: str, warm_rounds: int = WARM_ROUNDS, rounds: int = ROUNDS
-) -> np.ndarray:
-    """Piece scores after some rounds of expectation maximisation over the distinct training words.
-
-    The first rounds only bring the scores near, so a share of the words does; the last see every word.
+def fit_scores(counts: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
+    """Piece scores after some rounds of expectation maximisation, each over all distinct training words.
 
     What reaches the driver is a number per piece of the vocabulary, whatever the corpus.
     """
@@ -275,8 +270,7 @@ def fit_scores(
     scores = rank_scores(len(pieces))
     spark = counts.sparkSession
     trained = counts.where((F.col("c") > 0) & (F.col("word") != F.lit(END))).select("word")
-    share = trained.where(F.pmod(F.xxhash64("word"), F.lit(WARM_SHARE)) == 0)
-    for words in [share] * warm_rounds + [trained] * rounds:
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(scores)
 
         def run(iterator: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -289,7 +283,7 @@ def fit_scores(
                 there = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["piece", "n"])
 
-        expected = words.mapInArrow(run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        expected = trained.mapInArrow(run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         weights = np.full(len(pieces), PRIOR)
         for piece, n in expected.collect():
             weights[piece] += n
