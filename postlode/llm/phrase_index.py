@@ -8,7 +8,7 @@ frequency of a token is, so a hot word is as many short lists as there are segme
 
 A search reads the rows of the terms asked for, groups them by segment, and intersects, for each
 window, the offset-adjusted lists from the segment's rarest term on. Windows are the stated query
-set; they go to the segments in blocks of ``WINDOWS_PER_BLOCK``.
+set; they go to the segments in blocks of about ``WINDOWS_PER_BLOCK``, one at a time.
 
 Edge cases: a null or empty text has no words and a zero count. Rows are kept apart by their place in
 the index, so repeated ids give a result row each. Null ids are kept. An item without words gives
@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.shared import batches, byte_texts, stored, texts_of
+from postlode.llm.shared import batches, byte_texts, discard, stored, texts_of
 
 WINDOW_WORDS = 10
 # A segment ends after so many tokens, or with its partition.
@@ -188,6 +189,9 @@ class Segment:
             near = near[high > low]
         return near
 
+    def ids_of(self, docs: np.ndarray) -> pa.Array:
+        return pa.array([None if x == NULL_ID else x for x in self.ids[docs].tolist()], pa.int64())
+
     def document_of(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, positions, side="right") - 1
 
@@ -205,16 +209,36 @@ def _open(row: dict) -> Segment:
     return Segment(row["ids"], row["lengths"], {x["token"]: x["postings"] for x in row["lists"] or []})
 
 
-def _blocks(windows: DataFrame) -> Iterator[dict[tuple[bytes, ...], list[int]]]:
-    """Distinct windows with their items, a block at a time: the stated query set."""
-    block: dict[tuple[bytes, ...], list[int]] = defaultdict(list)
-    for row in windows.distinct().toLocalIterator():
-        terms = tuple(bytes(t) for t in row.terms)
-        if terms not in block and len(block) >= WINDOWS_PER_BLOCK:
-            yield dict(block)
-            block = defaultdict(list)
-        block[terms].append(row.item_id)
-    yield dict(block)
+def _per_block(segments: DataFrame, windows: DataFrame, search: Callable, schema: str, name: str) -> DataFrame:
+    """What ``search`` finds in every segment for every block of the distinct windows.
+
+    ``search`` takes an open segment's row and a block, windows with their items, and yields batches. Windows are
+    dealt to blocks by hash, a row at a time, so a window that very many items share is spread over blocks too. The
+    driver holds one block; its matches are written before the next is read, and its broadcast is then gone.
+    """
+    context = segments.sparkSession.sparkContext
+    distinct = stored(windows.select("terms", "item_id").distinct(), "distinct-windows")
+    n_blocks = max(1, -(-distinct.count() // WINDOWS_PER_BLOCK))
+    number = F.pmod(F.xxhash64("terms", "item_id"), F.lit(n_blocks))
+    # In the order of blocks, so that a block's rows are read from its own files.
+    dealt = stored(distinct.withColumn("block", number).sort("block"), "window-blocks")
+    found = []
+    for i in range(n_blocks):
+        block: dict[tuple[bytes, ...], list[int]] = defaultdict(list)
+        for row in dealt.where(F.col("block") == i).collect():
+            block[tuple(bytes(t) for t in row.terms)].append(row.item_id)
+        shared = context.broadcast(dict(block))
+
+        def run(iterator: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches(iterator):
+                for row in batch.to_pylist():
+                    yield from search(row["segment"], _open(row), shared.value)
+
+        found.append(stored(segments.mapInArrow(run, schema), name))
+        shared.destroy()
+    for used in (segments, distinct, dealt):
+        discard(used)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _candidates(segment: Segment, windows: dict[tuple[bytes, ...], list[int]]) -> Iterator[tuple]:
@@ -229,106 +253,48 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
 
     ``doc`` is the document's number in its segment, which tells repeated ids apart.
     """
-    spark = index.sparkSession
-    segments = stored(_segments(index, windows), "phrase-lists")
-    result = None
-    schema = "segment string, doc int, doc_id long, item_id long, pos int, n_words int"
-    for block in _blocks(windows):
-        shared = spark.sparkContext.broadcast(block)
 
-        def run(iterator: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches(iterator):
-                for row in batch.to_pylist():
-                    segment = _open(row)
-                    for terms, items, starts in _candidates(segment, shared.value):
-                        docs = segment.document_of(starts)
-                        for item in items:
-                            n = len(starts)
-                            ids = [None if x == NULL_ID else x for x in segment.ids[docs].tolist()]
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([row["segment"]] * n), pa.array(docs, pa.int32()), pa.array(ids, pa.int64()),
-                                 pa.array([item] * n, pa.int64()),
-                                 pa.array(starts - segment.starts[docs], pa.int32()),
-                                 pa.array([len(terms)] * n, pa.int32())],
-                                ["segment", "doc", "doc_id", "item_id", "pos", "n_words"],
-                            )
-
-        found = segments.mapInArrow(run, schema)
-        result = found if result is None else result.unionByName(found)
-    return result
+    def search(name: str, segment: Segment, block: dict) -> Iterator[pa.RecordBatch]:
+        for terms, items, starts in _candidates(segment, block):
+            docs = segment.document_of(starts)
+            n = len(starts)
+            for item in items:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * n), pa.array(docs, pa.int32()), segment.ids_of(docs),
+                     pa.array([item] * n, pa.int64()), pa.array(starts - segment.starts[docs], pa.int32()),
+                     pa.array([len(terms)] * n, pa.int32())],
+                    ["segment", "doc", "doc_id", "item_id", "pos", "n_words"],
+                )
+
+    schema = "segment string, doc int, doc_id long, item_id long, pos int, n_words int"
+    return _per_block(stored(_segments(index, windows), "phrase-lists"), windows, search, schema, "phrase-matches")
 
 
 def proximity_matches(index: DataFrame, queries: DataFrame, span: int) -> DataFrame:
     """``doc_id, item_id, pos``: where all of a query's terms stand within ``span`` words of its rarest one."""
-    spark = index.sparkSession
-    segments = stored(_segments(index, queries), "proximity-lists")
-    result = None
-    for block in _blocks(queries):
-        shared = spark.sparkContext.broadcast(block)
-
-        def run(iterator: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches(iterator):
-                for row in batch.to_pylist():
-                    segment = _open(row)
-                    for terms, items in shared.value.items():
-                        near = segment.proximity(list(dict.fromkeys(terms)), span)
-                        docs = segment.document_of(near)
-                        ids = [None if x == NULL_ID else x for x in segment.ids[docs].tolist()]
-                        for item in items if len(near) else []:
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(ids, pa.int64()), pa.array([item] * len(near), pa.int64()),
-                                 pa.array(near - segment.starts[docs], pa.int32())],
-                                ["doc_id", "item_id", "pos"],
-                            )
-
-        found = segments.mapInArrow(run, "doc_id long, item_id long, pos int")
-        result = found if result is None else result.unionByName(found)
-    return result
-
-
-def _covered(starts: np.ndarray, ends: np.ndarray) -> int:
-    """Positions inside any of the spans, which come in order of their starts."""
-    reach = np.maximum.accumulate(ends)
-    return int((reach - np.maximum(starts, np.concatenate([starts[:1], reach[:-1]]))).clip(0).sum())
 
+    def search(name: str, segment: Segment, block: dict) -> Iterator[pa.RecordBatch]:
+        for terms, items in block.items():
+            near = segment.proximity(list(dict.fromkeys(terms)), span)
+            docs = segment.document_of(near)
+            for item in items if len(near) else []:
+                yield pa.RecordBatch.from_arrays(
+                    [segment.ids_of(docs), pa.array([item] * len(near), pa.int64()),
+                     pa.array(near - segment.starts[docs], pa.int32())],
+                    ["doc_id", "item_id", "pos"],
+                )
 
-def contamination(documents: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every row.
+    lists = stored(_segments(index, queries), "proximity-lists")
+    return _per_block(lists, queries, search, "doc_id long, item_id long, pos int", "proximity-matches")
 
-    All of a document lies in one segment, so its hits are merged where they are found, and a
-    document with very many occurrences gives one row.
-    """
-    spark = documents.sparkSession
-    windows = stored(windows_of(items, window_words), "windows")
-    index = build_index(documents)
-    blocks = list(_blocks(windows))
-    if len(blocks) > 1:
-        return _merged_blocks(index, windows)
-    shared = spark.sparkContext.broadcast(blocks[0])
 
-    def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(iterator):
-            for row in batch.to_pylist():
-                segment = _open(row)
-                n_hit = np.zeros(len(segment.ids), np.int64)
-                found: dict[int, set[int]] = defaultdict(set)
-                all_starts, all_ends = [], []
-                for terms, items, starts in _candidates(segment, shared.value):
-                    all_starts.append(starts)
-                    all_ends.append(starts + len(terms))
-                    for doc in np.unique(segment.document_of(starts)).tolist():
-                        found[doc].update(items)
-                if all_starts:
-                    starts, ends = np.concatenate(all_starts), np.concatenate(all_ends)
-                    order = np.argsort(starts, kind="stable")
-                    starts, ends = starts[order], ends[order]
-                    docs = segment.document_of(starts)
-                    edges = [0, *(np.flatnonzero(np.diff(docs)) + 1).tolist(), len(docs)]
-                    for low, high in pairwise(edges):
-                        n_hit[docs[low]] = _covered(starts[low:high], ends[low:high])
-                yield _summary(segment, n_hit, found)
-
-    return stored(_segments(index, windows), "phrase-lists").mapInArrow(run, SUMMARY)
+def _runs(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The union of some spans as disjoint ``[start, end)`` rows in order."""
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.ones(len(starts), bool)
+    first[1:] = starts[1:] > reach[:-1]
+    return np.stack([starts[first], reach[np.append(np.flatnonzero(first)[1:], len(starts)) - 1]], axis=1)
 
 
 SUMMARY = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -338,22 +304,44 @@ def items_digest(items: list[int]) -> str:
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
 
 
-def _summary(segment: Segment, n_hit: np.ndarray, found: dict[int, set[int]]) -> pa.RecordBatch:
-    none = items_digest([])
-    digests = [items_digest(list(found[i])) if i in found else none for i in range(len(segment.ids))]
-    counts = [len(found[i]) if i in found else 0 for i in range(len(segment.ids))]
-    ids = [None if x == NULL_ID else x for x in segment.ids.tolist()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(segment.lengths), pa.array(n_hit), pa.array(counts, pa.int64()),
-         pa.array(digests, pa.string()), pa.array(n_hit > 0)],
-        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+def _hits(name: str, segment: Segment, block: dict) -> Iterator[pa.RecordBatch]:
+    """A row per document with a hit: the runs of its hit words and the items they are from."""
+    found: dict[int, set[int]] = defaultdict(set)
+    all_starts, all_ends = [], []
+    for terms, items, starts in _candidates(segment, block):
+        all_starts.append(starts)
+        all_ends.append(starts + len(terms))
+        for doc in np.unique(segment.document_of(starts)).tolist():
+            found[doc].update(items)
+    if not found:
+        return
+    runs = _runs(np.concatenate(all_starts), np.concatenate(all_ends))
+    of = segment.document_of(runs[:, 0])  # in order, as the runs are; none crosses documents
+    docs = np.unique(of)
+    edges = np.searchsorted(of, docs, side="left").tolist() + [len(of)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([name] * len(docs)), pa.array(docs, pa.int32()),
+         pa.array([runs[low:high].tobytes() for low, high in pairwise(edges)], pa.binary()),
+         pa.array([list(found[doc]) for doc in docs.tolist()], pa.list_(pa.int64()))],
+        ["segment", "doc", "runs", "items"],
     )
 
 
-def _merged_blocks(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """The same summary when the query set needs several blocks: their matches meet per document."""
-    matches = phrase_matches(index, windows).groupBy("segment", "doc").agg(
-        F.collect_set("item_id").alias("items"), F.collect_set(F.struct("pos", "n_words")).alias("spans")
+def contamination(documents: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every row.
+
+    A segment merges the hits of each of its documents for a block of windows, so a document with very many
+    occurrences gives one row a block; the rows of all blocks meet per document.
+    """
+    windows = stored(windows_of(items, window_words), "windows")
+    index = build_index(documents)
+    hits = _per_block(
+        stored(_segments(index, windows), "phrase-lists"), windows, _hits,
+        "segment string, doc int, runs binary, items array<long>", "phrase-hits",
+    )
+    discard(windows)
+    matches = hits.groupBy("segment", "doc").agg(
+        F.collect_list("runs").alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
     )
 
     def heads(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,40 +349,46 @@ def _merged_blocks(index: DataFrame, windows: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 segment = Segment(row["ids"], row["lengths"], {})
                 n = len(segment.ids)
-                ids = [None if x == NULL_ID else x for x in segment.ids.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["segment"]] * n), pa.array(np.arange(n), pa.int32()), pa.array(ids, pa.int64()),
-                     pa.array(segment.lengths)],
+                    [pa.array([row["segment"]] * n), pa.array(np.arange(n), pa.int32()),
+                     segment.ids_of(np.arange(n)), pa.array(segment.lengths)],
                     ["segment", "doc", "doc_id", "n_words"],
                 )
 
+    none = items_digest([])
+
     def merge(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(iterator):
-            rows = batch.to_pylist()
-            hits, digests = [], []
-            for row in rows:
-                spans = sorted((s["pos"], s["pos"] + s["n_words"]) for s in row["spans"] or [])
-                both = np.array(spans, np.int64).reshape(-1, 2)
-                hits.append(_covered(both[:, 0], both[:, 1]) if spans else 0)
-                digests.append(items_digest(row["items"] or []))
+            n_hit = []
+            for blocks in batch.column("runs").to_pylist():
+                spans = np.frombuffer(b"".join(blocks or []), np.int64).reshape(-1, 2)
+                n_hit.append(int(np.diff(_runs(spans[:, 0], spans[:, 1])).sum()) if len(spans) else 0)
+            found = batch.column("items").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(3), pa.array(hits, pa.int64()),
-                 pa.array([len(r["items"] or []) for r in rows], pa.int64()), pa.array(digests, pa.string()),
-                 pa.array([h > 0 for h in hits])],
+                [batch.column("doc_id"), batch.column("n_words"), pa.array(n_hit, pa.int64()),
+                 pa.array([len(x or []) for x in found], pa.int64()),
+                 pa.array([items_digest(x) if x else none for x in found], pa.string()),
+                 pa.array([n > 0 for n in n_hit])],
                 ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    all_rows = index.where("token is null").select("segment", "ids", "lengths").mapInArrow(
+    rows = index.where("token is null").select("segment", "ids", "lengths").mapInArrow(
         heads, "segment string, doc int, doc_id long, n_words long"
     )
-    return all_rows.join(matches, ["segment", "doc"], "left").mapInArrow(merge, SUMMARY)
+    return rows.join(matches, ["segment", "doc"], "left").mapInArrow(merge, SUMMARY)
 
 
 def clean_documents(documents: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """The documents without an occurrence of a benchmark window; a null id is replaced by its text's hash."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    keyed = documents.select(key.alias("doc_id"), "text")
+    """The rows without an occurrence of a benchmark window, with all their columns.
+
+    Rows are told apart by a hash of id and text, so a clean text stays when its id is also a contaminated one's, and
+    null ids need no other way. Equal rows stay or go together. A null or empty text has no
+    words and stays; without benchmark words all rows stay.
+    """
+    def own(df: DataFrame):
+        return F.xxhash64(df["doc_id"].cast("long"), df["text"])
+
+    keyed = documents.select(own(documents).alias("doc_id"), "text")
     spoilt = contamination(keyed, items, window_words).where("contaminated").select(F.col("doc_id").alias("_spoilt"))
     spoilt = stored(spoilt.distinct(), "contaminated")
-    own = F.coalesce(documents["doc_id"].cast("long"), F.xxhash64(documents["text"]))
-    return documents.join(spoilt, own == spoilt["_spoilt"], "left_anti")
+    return documents.join(spoilt, own(documents) == spoilt["_spoilt"], "left_anti")

@@ -67,14 +67,17 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, text_hash, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(iterator):
             found = np.array([fingerprint(t, shingle_words) for t in byte_texts(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fp"]
+            )
 
-    return texts_of(documents).mapInArrow(run, "doc_id long, fp long")
+    texts = texts_of(documents, F.xxhash64(documents["text"]).alias("text_hash"))
+    return texts.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
@@ -148,9 +151,27 @@ def near_duplicates(
 
 
 def one_per_group(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest id of each group, once; rows without an id all stay."""
-    found = near_duplicates(documents, shingle_words, max_bits)
-    keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keeper")).distinct()
-    same = documents["doc_id"].cast("long") == keepers["_keeper"]
-    kept = documents.join(keepers, same, "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id of each group, once; rows without an id all stay.
+
+    Of several texts under that id, only one whose own group has the id as its smallest may stand for the
+    group: that with the smallest hash. Rows equal in id and text are told apart by their other columns, in the
+    order of their JSON. So the result does not depend on the run.
+    """
+    prints = stored(fingerprints(documents, shingle_words), "fingerprints")
+    keepers = (
+        prints.join(near_groups(prints, max_bits), "fp")
+        .where("doc_id = component")
+        .groupBy(F.col("doc_id").alias("_keeper"))
+        .agg(F.min("text_hash").alias("_text_hash"))
+    )
+    same = (documents["doc_id"].cast("long") == keepers["_keeper"]) & (
+        F.xxhash64(documents["text"]) == keepers["_text_hash"]
+    )
+    others = [documents[c] for c in documents.columns if c not in ("doc_id", "text")]
+    kept = (
+        documents.join(keepers, same, "left_semi")
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.min_by(F.struct("*"), F.to_json(F.struct(*others)) if others else F.lit("")).alias("_row"))
+        .select("_row.*")
+    )
     return kept.unionByName(documents.where("doc_id is null"))

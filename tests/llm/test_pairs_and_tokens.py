@@ -180,6 +180,15 @@ class TestSimHash:
         assert len(named) == len(set(named)) and 3 in named and not {30, 31} & set(named)
         assert found.count(None) == sum(i is None for i, _ in rows)
 
+    def test_which_row_of_an_id_stays_is_fixed(self, spark):
+        first, other = prose(1, 80), prose(2, 80)
+        rows = [(1, first, "b"), (3, first, "z"), (3, other, "d"), (3, other, "c"), (4, other, "a"), (5, None, None)]
+        shape = "doc_id long, text string, note string"
+        for turn in (rows, rows[::-1]):
+            kept = simhash.one_per_group(spark.createDataFrame(turn, shape).repartition(3)).collect()
+            # The text of 3 that is a copy of 1 goes, though 3 is another group's smallest id.
+            same_rows(kept, [(1, first, "b"), (3, other, "c"), (5, None, None)])
+
     def test_random_links_are_all_found(self, spark):
         rng = np.random.default_rng(5)
         base = rng.integers(-(2**63), 2**63, 400)
@@ -229,7 +238,7 @@ class TestPhraseIndex:
         (7, " ".join(prose(2, 66).upper().split()[5:30])), (8, prose(2, 40)), (9, "é" * 60),
     ]
 
-    @pytest.mark.parametrize(("block", "segment"), [(200_000, 2_000_000), (7, 100)])
+    @pytest.mark.parametrize(("block", "segment"), [(200_000, 2_000_000), (2, 100)])  # one block, over 50 blocks
     def test_matches_brute_force(self, spark, monkeypatch, block, segment):
         monkeypatch.setattr(phrase_index, "WINDOWS_PER_BLOCK", block)
         monkeypatch.setattr(phrase_index.build_index, "__defaults__", (segment,))
@@ -256,6 +265,33 @@ class TestPhraseIndex:
         assert None in bad and kept.count() == len(rows) - len(bad)
         assert kept.where("doc_id is null and text is null").count() == 1
 
+    def test_a_clean_row_stays_beside_a_contaminated_one_of_its_id(self, spark):
+        items = spark.createDataFrame([(1, prose(2, 40))], "item_id long, text string")
+        rows = [(5, prose(2, 40)), (5, "quite clean"), (None, prose(2, 40)), (None, "clean too"), (5, None)]
+        kept = phrase_index.clean_documents(frame(spark, rows), items).collect()
+        same_rows(kept, [(5, "quite clean"), (None, "clean too"), (5, None)])
+
+    def test_runs_join_spans_that_touch_or_nest(self):
+        spans = np.array([[4, 9], [0, 3], [3, 4], [20, 30], [21, 22], [40, 41]])
+        assert phrase_index._runs(spans[:, 0], spans[:, 1]).tolist() == [[0, 9], [20, 30], [40, 41]]
+
+    def test_windows_stay_on_the_driver_a_block_at_a_time(self, spark, monkeypatch):
+        monkeypatch.setattr(phrase_index, "WINDOWS_PER_BLOCK", 10)
+        sizes = []
+        index = phrase_index.build_index(frame(spark, documents()))
+        windows = phrase_index.windows_of(spark.createDataFrame(self.ITEMS, "item_id long, text string"))
+        broadcast = spark.sparkContext.broadcast
+
+        def counted(value):
+            sizes.append(sum(map(len, value.values())))
+            return broadcast(value)
+
+        monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+        many = phrase_index.phrase_matches(index, windows)
+        assert len(sizes) > 5 and max(sizes) <= 30 and sum(sizes) == windows.distinct().count()
+        monkeypatch.setattr(phrase_index, "WINDOWS_PER_BLOCK", 10_000)
+        same_rows(many.collect(), phrase_index.phrase_matches(index, windows).collect())
+
     def test_empty_tables(self, spark):
         none = spark.createDataFrame([], "item_id long, text string")
         assert phrase_index.contamination(frame(spark, []), none).count() == 0
