@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postlode import schemas
 from postlode.functions.numbers import active_since, percentage
 from postlode.functions.text import surrogate_key
+from postlode.operators.skew import split_join
 from postlode.operators.tagging import region_rows, tag
 from postlode.params import Params
 
@@ -48,9 +49,13 @@ def fact_postings(unified: DataFrame, params: Params) -> DataFrame:
     return with_activity_flag(keyed, params).select(*schemas.FACT.names)
 
 
-def attach_dimension(df: DataFrame, dim: DataFrame, name: str) -> DataFrame:
-    """Left join to a dimension on its exact, case-sensitive name."""
-    return df.join(dim, name, "left")
+def attach_dimension(df: DataFrame, dim: DataFrame, name: str, split_by: str | None = None) -> DataFrame:
+    """Left join to a dimension on its exact, case-sensitive name.
+
+    With ``split_by``, a column that varies among a name's rows, names that hold much of ``df`` are
+    split over copies of their dimension row.
+    """
+    return df.join(dim, name, "left") if split_by is None else split_join(df, dim, name, split_by)
 
 
 def bridge_job_skill(postings: DataFrame, skills: DataFrame) -> DataFrame:

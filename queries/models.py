@@ -216,6 +216,21 @@ def dim_company(t):
     return marts.dim_company(unified(t))
 
 
+@query("""
+    SELECT d.doc_id, d.source, c.source_key, c.longest, d.n_chars = c.longest AS is_longest
+    FROM documents d LEFT JOIN (
+        SELECT source, md5(lower(trim(source, ' '))) AS source_key, max(n_chars) AS longest
+        FROM documents WHERE source IS NOT NULL GROUP BY source) c ON d.source = c.source""")
+def fact_of_hot_names(t):
+    """Every document with its source's dimension row; sources that hold much of the table are split."""
+    dim = t.documents.where("source is not null").groupBy("source").agg(
+        surrogate_key("source").alias("source_key"), F.max("n_chars").alias("longest")
+    )
+    return marts.attach_dimension(t.documents.select("doc_id", "source", "n_chars"), dim, "source", "doc_id").select(
+        "doc_id", "source", "source_key", "longest", (F.col("n_chars") == F.col("longest")).alias("is_longest")
+    )
+
+
 @query("""
     SELECT md5(lower(trim(p_name || ' ' || p_partkey, ' '))) AS skill_id, p_name || ' ' || p_partkey AS skill_name,
            p_type AS category, lower(p_name) AS match_keyword
