@@ -158,20 +158,28 @@ def one_per_group(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_
     order of their JSON. So the result does not depend on the run.
     """
     prints = stored(fingerprints(documents, shingle_words), "fingerprints")
-    keepers = (
-        prints.join(near_groups(prints, max_bits), "fp")
-        .where("doc_id = component")
-        .groupBy(F.col("doc_id").alias("_keeper"))
-        .agg(F.min("text_hash").alias("_text_hash"))
-    )
-    same = (documents["doc_id"].cast("long") == keepers["_keeper"]) & (
-        F.xxhash64(documents["text"]) == keepers["_text_hash"]
+    own = prints.join(near_groups(prints, max_bits), "fp").where("doc_id = component")
+    keepers = stored(
+        own.groupBy(F.col("doc_id").alias("_keeper"), F.col("text_hash").alias("_text_hash"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("_keeper")
+        .agg(F.min(F.struct("_text_hash", "n")).alias("least"))
+        .select("_keeper", "least.*"),
+        "keepers",
     )
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        same = (documents["doc_id"].cast("long") == some["_keeper"]) & (
+            F.xxhash64(documents["text"]) == some["_text_hash"]
+        )
+        return documents.join(some, same, "left_semi")
+
     others = [documents[c] for c in documents.columns if c not in ("doc_id", "text")]
-    kept = (
-        documents.join(keepers, same, "left_semi")
+    # Only rows that occur again under their id meet in an aggregation; the others' texts need none.
+    repeated = (
+        rows_of(keepers.where("n > 1"))
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.min_by(F.struct("*"), F.to_json(F.struct(*others)) if others else F.lit("")).alias("_row"))
         .select("_row.*")
     )
-    return kept.unionByName(documents.where("doc_id is null"))
+    return rows_of(keepers.where("n = 1")).unionByName(repeated).unionByName(documents.where("doc_id is null"))
