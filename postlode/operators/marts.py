@@ -12,6 +12,9 @@ from postlode.operators.skew import split_join
 from postlode.operators.tagging import region_rows, tag
 from postlode.params import Params
 
+# Postings whose pairs one task joins and makes unique.
+POSTINGS_PER_TASK = 50_000
+
 
 def dimension(df: DataFrame, name: str, key: str) -> DataFrame:
     """Distinct non-null names with a key. The key ignores case, the row does not."""
@@ -71,8 +74,16 @@ def bridge_job_region(fact: DataFrame, regions: DataFrame, params: Params) -> Da
 
 
 def with_activity(bridge: DataFrame, fact: DataFrame) -> DataFrame:
-    """Bridge pairs with their posting's activity, for a bridge stored without it."""
-    return bridge.join(fact.select("job_id", "is_active"), "job_id")
+    """Bridge pairs with their posting's activity, for a bridge stored without it.
+
+    Both sides are cut by the number of postings. Ids compress so well that partitions merged by their
+    bytes would hold many millions of pairs, all of which a task sorts in its memory.
+    """
+    activity = fact.select("job_id", "is_active")
+    parts = -(-fact.count() // POSTINGS_PER_TASK)
+    if parts <= 1:
+        return bridge.join(activity, "job_id")
+    return bridge.repartition(parts, "job_id").join(activity.repartition(parts, "job_id"), "job_id")
 
 
 def _one_value(df: DataFrame, value: Column) -> Column:

@@ -76,6 +76,16 @@ def test_distinct_counts_reuse_the_join_partitioning(spark):
     assert plan(unique).count("Exchange hashpartitioning") == 2
 
 
+def test_pairs_of_more_postings_are_joined_in_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(marts, "POSTINGS_PER_TASK", 10, raising=False)
+    for n in (40, 400):
+        fact = spark.range(n).selectExpr("id as job_id", "id % 2 = 0 as is_active")
+        pairs = spark.range(3 * n).selectExpr(f"id % {2 * n} as job_id", "'s' as skill_id")
+        unique = marts.with_activity(pairs, fact).dropDuplicates(["job_id", "skill_id"])
+        assert unique.rdd.getNumPartitions() == n // 10
+        assert unique.count() == n and unique.where("is_active").count() == n // 2
+
+
 def test_wide_scans_are_not_shuffled(spark, folder):
     spark.range(1000).repartition(32).write.parquet(f"{folder}/wide")
     spark.range(1000).coalesce(1).write.parquet(f"{folder}/narrow")
