@@ -2,8 +2,8 @@
 
 A keyword matches at Unicode word boundaries, any case, in any of the given
 text columns. Every (row, label) pair of the whole table is found. A short taxonomy
-is written into the plan, a long one is joined by words; both give each row
-its list of labels, and what follows is the same.
+is written into the plan, one that fits a task is looked up there word by word, and a longer
+one is joined by words; all give each row its list of labels, and what follows is the same.
 """
 
 from __future__ import annotations
@@ -13,13 +13,18 @@ import re
 import unicodedata
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from postlode.functions.text import is_ascii, sql_text, text_array
 
 # Up to this many keywords are written into the plan as literals.
 INLINE_KEYWORDS = 200
+# Up to this many keywords, of so many characters with their labels, are sent to every task.
+LOOKUP_KEYWORDS, LOOKUP_CHARACTERS = 100_000, 8_000_000
 # Copies of each keyword in a shuffled join on words.
 WORD_SALTS = 16
 
@@ -121,28 +126,84 @@ def _tag_inline(
     return texts.select(*carry, labels.alias("_labels"))
 
 
-def _tag_by_word(
-    df: DataFrame, taxonomy: DataFrame, text: Sequence[str], carry: Sequence[str]
-) -> DataFrame:
-    """Equi-join the distinct words of each text to the first word of each keyword.
+def _first_words(taxonomy: DataFrame) -> DataFrame:
+    """``_word, label, plain, pattern`` of every keyword.
 
     The first word in a keyword is a whole word wherever the keyword matches,
     so no match is lost; keywords of more than one word, or with other signs,
-    are then checked against the text. A text's candidates depend on nothing but the text, so they
-    come back by its digest: equal texts are searched once, and rows need no key.
+    are then checked against the text.
     """
     keyword_words = F.trim(F.regexp_replace(F.lower("_keyword"), _NOT_WORD, " "))
     fold = F.when(is_ascii("_keyword"), F.lit("i")).otherwise(F.lit("iu"))
     plain = (keyword_words == F.lower("_keyword")) & (F.instr(keyword_words, F.lit(" ")) == 0)
     pattern = F.concat(F.lit("(?U:\\b)(?"), fold, F.lit(":"), F.col("_keyword"), F.lit(")(?U:\\b)"))
+    return taxonomy.select(
+        F.substring_index(keyword_words, " ", 1).alias("_word"),
+        F.col("_label").alias("label"), plain.alias("plain"), pattern.alias("pattern"),
+    )
+
+
+def _fits_a_task(taxonomy: DataFrame) -> bool:
+    size = taxonomy.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("_keyword") + F.length("_label")).alias("characters")
+    ).first()
+    return size.n <= LOOKUP_KEYWORDS and size.characters <= LOOKUP_CHARACTERS
+
+
+def _lookup(keywords: list[Row]):
+    """A row's candidates by its words; the pattern is null where the word alone is a match."""
+    keywords = sorted(keywords, key=lambda k: k["_word"])
+    first = [i for i, k in enumerate(keywords) if not i or keywords[i - 1]["_word"] != k["_word"]]
+    known = pa.array([keywords[i]["_word"] for i in first], pa.string())
+    begins, counts = np.array(first), np.diff([*first, len(keywords)])
+    labels = pa.array([k["label"] for k in keywords], pa.string())
+    patterns = pa.array([k["pattern"] for k in keywords], pa.string())
+    plain = np.array([k["plain"] for k in keywords], bool)
+
+    @F.arrow_udf("array<struct<label: string, pattern: string>>")
+    def candidates(words: pa.Array, odd: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+        codes = pc.fill_null(pc.index_in(words.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(words)), sizes)[codes >= 0]
+        codes = codes[codes >= 0]
+        n = counts[codes]
+        at = np.repeat(begins[codes] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        row = np.repeat(row, n)
+        sure = plain[at] & ~pc.fill_null(odd, False).to_numpy(zero_copy_only=False)[row]
+        found = pa.StructArray.from_arrays(
+            [labels.take(pa.array(at)), patterns.take(pa.array(at, mask=sure))], ["label", "pattern"]
+        )
+        offsets = np.searchsorted(row, np.arange(len(words) + 1))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
+
+    return candidates
+
+
+def _tag_by_lookup(
+    df: DataFrame, taxonomy: DataFrame, text: Sequence[str], carry: Sequence[str]
+) -> DataFrame:
+    """One pass, no shuffle: the distinct words of each text are looked up among the keywords' first words."""
+    candidates = _lookup(_first_words(taxonomy).collect())
+    texts = _searchable(df, text, carry)
+    found = texts.select(*carry, "_text", candidates(F.array_distinct(_words_in("_lower")), "_odd").alias("_candidates"))
+    matched = F.filter("_candidates", lambda c: c["pattern"].isNull() | F.regexp_like(F.col("_text"), c["pattern"]))
+    return found.select(*carry, F.transform(matched, lambda c: c["label"]).alias("_labels"))
+
+
+def _tag_by_word(
+    df: DataFrame, taxonomy: DataFrame, text: Sequence[str], carry: Sequence[str]
+) -> DataFrame:
+    """Equi-join the distinct words of each text to the first word of each keyword.
+
+    A text's candidates depend on nothing but the text, so they
+    come back by its digest: equal texts are searched once, and rows need no key.
+    """
     # A word may occur in most texts: they are spread over salted copies of its keywords.
     salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(WORD_SALTS - 1).cast("bigint")))
-    keywords = taxonomy.select(
-        F.substring_index(keyword_words, " ", 1).alias("_word"),
-        F.struct(F.col("_label").alias("label"), plain.alias("plain"), pattern.alias("pattern")).alias("_candidate"),
-        salts.alias("_salt"),
+    keywords = _first_words(taxonomy).select(
+        "_word", F.struct("label", "plain", "pattern").alias("_candidate"), salts.alias("_salt")
     )
-    texts = _searchable(df, text, carry).withColumn("_text_id", F.md5("_text"))
+    texts = _searchable(df, text, carry).withColumn("_text_id", F.unhex(F.md5("_text")))
     words = F.explode_outer(F.array_distinct(_words_in("_lower"))).alias("_word")
     salt = F.pmod(F.xxhash64("_text_id"), F.lit(WORD_SALTS)).alias("_salt")
     candidates = (
@@ -196,7 +257,8 @@ def tag(
         ).head(1)
         for row in bad:
             check_keyword(row["_keyword"])
-        labelled = _tag_by_word(df, rows, text, carried)
+        search = _tag_by_lookup if _fits_a_task(rows) else _tag_by_word
+        labelled = search(df, rows, text, carried)
     elif head:
         groups = [(row["_label"], [check_keyword(row["_keyword"])]) for row in head]
         if distinct:

@@ -130,3 +130,29 @@ def test_text_is_searched_once_and_nothing_is_shuffled(spark):
     plan = tag(df, tax, text=["t"], label="label")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
     assert plan.count("split(") == 1
+
+
+@pytest.mark.parametrize("limit", ["LOOKUP_KEYWORDS", "LOOKUP_CHARACTERS"])
+def test_a_taxonomy_beyond_a_task_is_joined_with_the_same_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 2)
+    rows = random_rows(200, seed=11)
+    taxonomy = [(f"L{i}", k) for i, k in enumerate(KEYWORDS)] + [("L1", "us"), ("L1", "us")]
+    df = spark.createDataFrame(rows + rows[:50], "id int, a string, b string")
+    tax = spark.createDataFrame(taxonomy, "label string, match_keyword string")
+
+    def found(**options):
+        return sorted(map(tuple, tag(df, tax, text=["a", "b"], label="label", key="id", **options).collect()))
+
+    looked_up, regions = found(), found(distinct=True, default="none")
+    assert looked_up == brute_force(rows + rows[:50], taxonomy)
+    monkeypatch.setattr(tagging, limit, 1)
+    assert (found(), found(distinct=True, default="none")) == (looked_up, regions)
+
+
+def test_a_taxonomy_that_fits_a_task_shuffles_no_text(spark, monkeypatch, capsys):
+    monkeypatch.setattr(tagging, "INLINE_KEYWORDS", 2)
+    df = spark.createDataFrame(random_rows(20, seed=3), "id int, a string, b string")
+    tax = spark.createDataFrame([(k, k) for k in KEYWORDS], "label string, match_keyword string")
+    for distinct, default in ((False, None), (True, "none")):
+        tag(df, tax, text=["a", "b"], label="label", key="id", distinct=distinct, default=default).explain()
+        assert "Exchange" not in capsys.readouterr().out
