@@ -54,8 +54,36 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-def _segment(name: str, ids: list[int], lengths: list[int], tokens: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """Index rows of one segment; ``tokens`` runs through all its documents."""
+class _Words:
+    """The words of a segment, out of Python's objects but for the last few."""
+
+    def __init__(self):
+        self._parts: list[pa.Array] = []
+        self._last: list[bytes] = []
+        self._n = 0
+
+    def add(self, words: list[bytes]) -> None:
+        self._last += words
+        self._n += len(words)
+        if len(self._last) >= 50_000:
+            self._pass_on()
+
+    def _pass_on(self) -> None:
+        self._parts.append(pa.array(self._last, pa.binary()))
+        self._last = []
+
+    def coded(self) -> pa.DictionaryArray:
+        self._pass_on()
+        coded = pa.chunked_array(self._parts).dictionary_encode()
+        self._parts = []
+        return coded.combine_chunks()
+
+    def __len__(self) -> int:
+        return self._n
+
+
+def _segment(name: str, ids: list[int], lengths: list[int], tokens: _Words) -> Iterator[pa.RecordBatch]:
+    """Index rows of one segment; ``tokens``, used up here, runs through all its documents."""
     sizes = np.array(lengths, np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes + GAP)[:-1]]) if len(sizes) else np.empty(0, np.int64)
     head = (np.array(ids, np.int64).tobytes(), sizes.astype(np.int32).tobytes())
@@ -66,11 +94,11 @@ def _segment(name: str, ids: list[int], lengths: list[int], tokens: list[bytes])
     )
     if not tokens:
         return
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    coded = tokens.coded()
     codes = coded.indices.to_numpy()
-    positions = np.arange(len(tokens)) + np.repeat(np.arange(len(sizes)) * GAP, sizes)
-    order = np.argsort(codes, kind="stable")
-    positions = positions[order].astype(np.uint32)
+    positions = np.repeat((np.arange(len(sizes)) * GAP).astype(np.uint32), sizes)
+    positions += np.arange(len(tokens), dtype=np.uint32)
+    positions = positions[np.argsort(codes, kind="stable")]
     counts = np.bincount(codes, minlength=len(coded.dictionary))
     ends = np.cumsum(counts)
     deltas = np.diff(positions, prepend=np.uint32(0)).astype(np.uint32)
@@ -103,16 +131,16 @@ def build_index(documents: DataFrame, segment_tokens: int = SEGMENT_TOKENS) -> D
         part, number = TaskContext.get().partitionId(), 0
         ids: list[int] = []
         lengths: list[int] = []
-        tokens: list[bytes] = []
+        tokens = _Words()
         for batch in batches(iterator):
             for doc, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
                 words = words_of(text)
                 ids.append(NULL_ID if doc is None else doc)
                 lengths.append(len(words))
-                tokens += words
+                tokens.add(words)
                 if len(tokens) >= segment_tokens or len(ids) >= segment_tokens:
                     yield from _segment(f"{part}-{number}", ids, lengths, tokens)
-                    number, ids, lengths, tokens = number + 1, [], [], []
+                    number, ids, lengths, tokens = number + 1, [], [], _Words()
         if ids:
             yield from _segment(f"{part}-{number}", ids, lengths, tokens)
 
