@@ -7,6 +7,7 @@ from postlode.llm import phrase_index
 
 def test_words_of_a_segment_are_few_python_objects():
     words = phrase_index._Words()
+    pa.array([b"x"], pa.binary())  # the first call imports pandas
     tracemalloc.start()
     try:
         for i in range(2000):
