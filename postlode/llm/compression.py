@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from postlode.llm.shared import batches, byte_texts, stored
+from postlode.llm.shared import batches, byte_texts, lean, stored
 
 # The bound of the fit: so many labelled texts of each class at most, of so many bytes each, those with
 # the smallest hash of the id. One in CURVE_SHARE fits the curve, the others fill the dictionary.
@@ -182,4 +182,4 @@ def score(documents: DataFrame, model: Model, text: str = "text", to: str = "sco
             columns = [*batch.columns, pa.array(1 / (1 + np.exp(-z)), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, to])
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(lean(run), schema)

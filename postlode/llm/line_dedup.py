@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.shared import ASCII_SPACE, batches, byte_texts, free_name, stored, texts_of
+from postlode.llm.shared import ASCII_SPACE, batches, byte_texts, free_name, lean, stored, texts_of
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -108,12 +108,12 @@ def _decide(min_docs: int):
 def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``doc_id, of, pos`` of every line to drop; ``of`` is the hash of the text it stands in."""
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), "text")
-    lines = source.mapInArrow(_hashes(min_chars), "h binary, doc_id long, of long, pos int")
+    lines = source.mapInArrow(lean(_hashes(min_chars)), "h binary, doc_id long, of long, pos int")
     ordered = lines.repartitionByRange("h", F.desc_nulls_last("doc_id")).sortWithinPartitions(
         "h", F.desc_nulls_last("doc_id"), "of", "pos"
     )
     decided = "h binary, doc_id long, of long, pos int, edge int, n_docs int"
-    seen = stored(ordered.mapInArrow(_decide(min_docs), decided), "line-decisions")
+    seen = stored(ordered.mapInArrow(lean(_decide(min_docs)), decided), "line-decisions")
     # At most two hashes a partition are undecided: a broadcast bounded by the partition count.
     edges = (
         seen.where("edge = 2")
@@ -157,7 +157,7 @@ def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     # A document's dropped positions are no more than its own lines.
     dropped = dropped_lines(documents, min_chars, min_docs)
     return dropped.groupBy("doc_id", "of").agg(F.collect_set("pos").alias("at")).mapInArrow(
-        run, "doc_id long, of long, keep binary"
+        lean(run), "doc_id long, of long, keep binary"
     )
 
 
@@ -196,7 +196,7 @@ def digests(documents: DataFrame, **rules: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
     masked = with_bitmaps(texts_of(documents), **rules)
-    return masked.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    return masked.mapInArrow(lean(run), "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def without_repeats(documents: DataFrame, **rules: int) -> DataFrame:
@@ -214,4 +214,4 @@ def without_repeats(documents: DataFrame, **rules: int) -> DataFrame:
             columns[at] = pa.array(kept, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return with_bitmaps(documents, **rules).mapInArrow(run, schema)
+    return with_bitmaps(documents, **rules).mapInArrow(lean(run), schema)

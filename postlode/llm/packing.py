@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.shared import batches, texts_of
+from postlode.llm.shared import batches, lean, texts_of
 from postlode.llm.tokens import encoder, text_groups
 
 SIZE = 2048
@@ -165,4 +165,4 @@ def pack(
         if segment.count():
             yield from flush()
 
-    return ordered(documents).mapInArrow(run, PIECES)
+    return ordered(documents).mapInArrow(lean(run, "encoder"), PIECES)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlode.llm.shared import batches, filesystem, new_path, stored, texts_of
+from postlode.llm.shared import batches, filesystem, lean, new_path, stored, texts_of
 from postlode.llm.tokens import encoder, text_groups
 
 MAGIC = b"PFR1"
@@ -196,7 +196,7 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID
             )
 
     ordered = texts_of(documents).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return stored(ordered.mapInArrow(run, MANIFEST), "token-manifest")
+    return stored(ordered.mapInArrow(lean(run, "encoder"), MANIFEST), "token-manifest")
 
 
 def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:

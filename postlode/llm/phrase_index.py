@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlode.llm.shared import batches, byte_texts, discard, stored, texts_of
+from postlode.llm.shared import batches, byte_texts, discard, lean, stored, texts_of
 
 WINDOW_WORDS = 10
 # A segment ends after so many tokens, or with its partition.
@@ -144,7 +144,7 @@ def build_index(documents: DataFrame, segment_tokens: int = SEGMENT_TOKENS) -> D
         if ids:
             yield from _segment(f"{part}-{number}", ids, lengths, tokens)
 
-    return stored(texts_of(documents).mapInArrow(run, INDEX), "phrase-index")
+    return stored(texts_of(documents).mapInArrow(lean(run), INDEX), "phrase-index")
 
 
 def windows_of(items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
@@ -164,7 +164,7 @@ def windows_of(items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
             )
 
     source = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    return source.mapInArrow(run, "item_id long, terms array<binary>")
+    return source.mapInArrow(lean(run), "item_id long, terms array<binary>")
 
 
 class Segment:
@@ -262,7 +262,7 @@ def _per_block(segments: DataFrame, windows: DataFrame, search: Callable, schema
                 for row in batch.to_pylist():
                     yield from search(row["segment"], _open(row), shared.value)
 
-        found.append(stored(segments.mapInArrow(run, schema), name))
+        found.append(stored(segments.mapInArrow(lean(run), schema), name))
         shared.destroy()
     for used in (segments, distinct, dealt):
         discard(used)
@@ -401,9 +401,9 @@ def contamination(documents: DataFrame, items: DataFrame, window_words: int = WI
             )
 
     rows = index.where("token is null").select("segment", "ids", "lengths").mapInArrow(
-        heads, "segment string, doc int, doc_id long, n_words long"
+        lean(heads), "segment string, doc int, doc_id long, n_words long"
     )
-    return rows.join(matches, ["segment", "doc"], "left").mapInArrow(merge, SUMMARY)
+    return rows.join(matches, ["segment", "doc"], "left").mapInArrow(lean(merge), SUMMARY)
 
 
 def clean_documents(documents: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:

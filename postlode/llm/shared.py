@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyarrow import fs
@@ -68,6 +71,38 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_postlode_worker", types.ModuleType("_postlode_worker")).__dict__
 
 
+def _give_back() -> None:
+    """Return memory that is free in this process to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable, *keeps: str) -> Callable:
+    """``run`` for ``mapInArrow``, in Python workers that outlive it and serve many operators in turn.
+
+    An executor has several workers, most of them idle, so what each holds counts as many times. What
+    other operators cached goes before the task, but for the kinds of entries in ``keeps``; what the
+    task has freed goes back to the system after it.
+    """
+
+    def task(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = worker_cache()
+        kinds = {k: k[0] if isinstance(k, tuple) else k for k in cache}
+        others = [k for k, kind in kinds.items() if kind not in keeps and not kind.startswith("__")]
+        if others:
+            for key in others:
+                del cache[key]
+            gc.collect()
+            _give_back()
+        try:
+            yield from run(iterator)
+        finally:
+            _give_back()
+
+    return task
+
+
 def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

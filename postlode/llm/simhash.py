@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from postlode.llm.components import components
 from postlode.llm.golay import nearby
-from postlode.llm.shared import batches, byte_texts, discard, stored, texts_of
+from postlode.llm.shared import batches, byte_texts, discard, lean, stored, texts_of
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -77,7 +77,7 @@ def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Da
             )
 
     texts = texts_of(documents, F.xxhash64(documents["text"]).alias("text_hash"))
-    return texts.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return texts.mapInArrow(lean(run), "doc_id long, text_hash long, fp long")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def _keys(nodes: DataFrame) -> DataFrame:
                 columns = [pa.array(keys[valid], pa.int32()), pa.array(signed[rows]), pa.array(node[rows])]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "node"])
 
-    return nodes.select("fp", "node").mapInArrow(run, "key int, fp long, node long")
+    return nodes.select("fp", "node").mapInArrow(lean(run, "golay"), "key int, fp long, node long")
 
 
 def _apart(a, b):

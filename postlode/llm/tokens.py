@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, with a bounded memory of chunks seen.
 
 The library splits a text into pieces before it merges bytes, and no piece crosses the chunk borders
-used here. So a text's ids are its chunks' ids in a row, and a chunk seen before costs one look-up.
+used here. So a text's ids are its chunks' ids in a row, and a chunk seen before costs one look-up by
+its digest of 128 bits.
 Chunks not seen are joined, encoded in one call, and their ids told apart by byte counts.
 """
 
@@ -9,12 +10,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
+from xxhash import xxh3_128_digest
 
 from postlode.llm.shared import worker_cache
 
@@ -31,6 +32,14 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Indices of all runs of ``counts`` from ``starts``, in a row."""
+    ends = np.cumsum(counts, dtype=np.int32)
+    places = np.repeat(starts - (ends - counts), counts)
+    places += np.arange(len(places), dtype=np.int32)
+    return places
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk; ``keeps_space`` for vocabularies whose ids cover all bytes.
 
@@ -48,19 +57,28 @@ class ChunkEncoder:
         for token, number in vocabulary.items():
             plain = token if keeps_space else token.removesuffix("</w>")
             self._bytes[number] = sum(c in alphabet for c in plain)
-        # Number of each chunk seen; its ids' place in ``_flat``, their count, and whether it is marked.
-        self._codes: dict[str, int] = {}
+        # Digests of the chunks seen, in the order of their first halves, and the number of each chunk: texts of chunks are not held.
+        self._digests = np.empty((0, 2), np.uint64, order="F")
+        self._number = np.empty(0, np.int32)
+        # By number: the ids' place in ``_flat``, their count, whether the chunk is marked, how often it was met.
         self._flat = np.empty(0, np.uint32)
-        self._starts = np.empty(0, np.int64)
-        self._counts = np.empty(0, np.int64)
+        self._starts = np.empty(0, np.int32)
+        self._counts = np.empty(0, np.int32)
         self._marked = np.empty(0, bool)
+        self._uses = np.empty(0, np.uint32)
 
     def _forget(self) -> None:
-        """Keep the chunks seen first, which the frequent ones are."""
-        self._codes = dict(islice(self._codes.items(), KEPT))
-        n = len(self._codes)
-        self._starts, self._counts, self._marked = self._starts[:n], self._counts[:n], self._marked[:n]
-        self._flat = self._flat[: int((self._starts + self._counts).max(initial=0))].copy()
+        """Keep the chunks met most often, in their order; of those met as often the ones seen first."""
+        kept = np.sort(np.argsort(~self._uses, kind="stable")[:KEPT])
+        there = np.full(len(self._uses), -1, np.int32)
+        there[kept] = np.arange(len(kept), dtype=np.int32)
+        number = there[self._number]
+        self._digests, self._number = np.asfortranarray(self._digests[number >= 0]), number[number >= 0]
+        counts = self._counts[kept]
+        starts = np.cumsum(counts, dtype=np.int32) - counts
+        self._flat = self._flat[_places(self._starts[kept], counts)]
+        self._starts, self._counts, self._marked = starts, counts, self._marked[kept]
+        self._uses = self._uses[kept] // 2  # so that what was frequent long ago can go
 
     def _ids(self, text: str) -> np.ndarray:
         # The call that tells no offsets.
@@ -88,7 +106,7 @@ class ChunkEncoder:
         return ids, starts, cuts - starts
 
     def _learn(self, chunks: list[str]) -> None:
-        starts, counts = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        starts, counts = np.zeros(len(chunks), np.int32), np.zeros(len(chunks), np.int32)
         base, parts = len(self._flat), [self._flat]
         safe = np.array([not (self._keeps_space and c.isspace()) for c in chunks], bool)
         together, alone = np.flatnonzero(safe), np.flatnonzero(~safe).tolist()
@@ -112,18 +130,38 @@ class ChunkEncoder:
         self._counts = np.concatenate([self._counts, counts])
         found = [self._marks is not None and self._marks.search(c) is not None for c in chunks]
         self._marked = np.concatenate([self._marked, np.array(found, bool)])
+        self._uses = np.concatenate([self._uses, np.zeros(len(chunks), np.uint32)])
+
+    def _seen(self, digests: np.ndarray) -> np.ndarray:
+        """The chunks' numbers, -1 for those not seen."""
+        first, second = self._digests[:, 0], self._digests[:, 1]
+        numbers, at = np.full(len(digests), -1, np.int32), np.searchsorted(first, digests[:, 0])
+        left = np.flatnonzero(at < len(first))
+        while len(left):  # once more only if two chunks share a first half
+            left = left[first[at[left]] == digests[left, 0]]
+            hit = second[at[left]] == digests[left, 1]
+            numbers[left[hit]] = self._number[at[left[hit]]]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < len(first)]
+        return numbers
 
     def _numbers(self, chunks: list[str]) -> np.ndarray:
-        codes, found, fresh = self._codes, [], []
-        for chunk in chunks:
-            number = codes.get(chunk)
-            if number is None:
-                codes[chunk] = number = len(codes)
-                fresh.append(chunk)
-            found.append(number)
-        if fresh:
-            self._learn(fresh)
-        return np.array(found, np.int64)
+        """The chunks' numbers, after those not seen are learnt; 128 bits tell chunks apart."""
+        digests = np.frombuffer(b"".join(map(xxh3_128_digest, chunks)), np.uint64).reshape(-1, 2)
+        numbers = self._seen(digests)
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            # One of equal chunks, in the order of appearance.
+            at = np.sort(np.unique(digests[unknown].view("S16"), return_index=True)[1])
+            fresh = digests[unknown[at]]
+            order = np.argsort(fresh[:, 0], kind="stable")
+            places = np.searchsorted(self._digests[:, 0], fresh[order, 0])
+            self._number = np.insert(self._number, places, (len(self._counts) + order).astype(np.int32))
+            self._digests = np.asfortranarray(np.insert(self._digests, places, fresh[order], axis=0))
+            self._learn([chunks[i] for i in unknown[at].tolist()])
+            numbers[unknown] = self._seen(digests[unknown])
+        return numbers
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Chunk numbers of all texts in a row, and how many each text has; white space is left out."""
@@ -131,7 +169,7 @@ class ChunkEncoder:
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         filled = np.array([bool(w) for w in words], bool)  # outer white space gives empty words
-        table = np.zeros(len(words), np.int64)
+        table = np.zeros(len(words), np.int32)
         table[filled] = self._numbers([w for w in words if w])
         at = coded.indices.to_numpy()
         offsets = split.offsets.to_numpy()
@@ -146,18 +184,17 @@ class ChunkEncoder:
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         odd = np.array([not w or w != w.strip() for w in words], bool)
-        at = coded.indices.to_numpy().astype(np.int64)
+        at = coded.indices.to_numpy()
         of_line, of_word = lines.offsets.to_numpy(), split.offsets.to_numpy()
         of_line, of_word = of_line - of_line[0], of_word - of_word[0]
-        led = np.ones(len(at), np.int64)
-        led[of_word[:-1]] = 0  # the first word of a line has no blank before it
-        key = at * 2 + led
+        key = at * 2 + 1
+        key[of_word[:-1]] -= 1  # the first word of a line has no blank before it
         there = np.zeros(2 * len(words), bool)
         there[key] = True
         keys = np.flatnonzero(there)
         usable = ~odd[keys >> 1]
         plain = [" " + words[k >> 1] if k & 1 else words[k >> 1] for k in keys[usable].tolist()]
-        table = np.zeros(len(there), np.int64)
+        table = np.zeros(len(there), np.int32)
         table[keys[usable]] = self._numbers(plain)
         # A line feed before each line but a text's first.
         later = np.ones(len(split), bool)
@@ -176,14 +213,14 @@ class ChunkEncoder:
         """For each text its ids and the id counts after its marked chunks. Null is as empty."""
         if not len(texts):
             return
-        if len(self._codes) > MEMORY:
+        if len(self._counts) > MEMORY:
             self._forget()
         texts = pc.fill_null(texts, "")
         numbers, chunks = self._spaced(texts) if self._keeps_space else self._words(texts)
+        self._uses += np.bincount(numbers, minlength=len(self._uses)).astype(np.uint32)
         counts = self._counts[numbers]
         reached = np.cumsum(counts)
-        shift = np.repeat(self._starts[numbers] - (reached - counts), counts)
-        ids = self._flat[shift + np.arange(len(shift))]
+        ids = self._flat[_places(self._starts[numbers], counts)]
         marked = self._marked[numbers]
         begin = low = 0
         for high in np.cumsum(chunks).tolist():
