@@ -84,6 +84,13 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sigma: int) -> np.
     return sa
 
 
+def _words(s: np.ndarray, more: int) -> tuple[np.ndarray, int]:
+    """For each place of ``s`` and ``more`` beyond its end, the 8 bytes from there on, and how many characters these are."""
+    size = s.dtype.itemsize
+    padded = np.concatenate([s.astype(f"<u{size}"), np.zeros(more + 8, f"<u{size}")])
+    return np.ndarray(len(s) + more, "<u8", padded.data, strides=(size,)), 8 // size
+
+
 def _names(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Names of the LMS substrings, equal ones alike, in the order of the text."""
     n, m = len(s), len(lms)
@@ -93,33 +100,47 @@ def _names(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, ordered: np.ndarray
     length[lms[-1]] = n - lms[-1] + 1
     a, b = ordered[:-1], ordered[1:]
     same = (length[a] == length[b]) & (a != lms[-1]) & (b != lms[-1])
-    k = 0
     rest = np.flatnonzero(same)
+    a, b, left = a[rest], b[rest], length[a[rest]]
+    words, step = _words(s, 1)
+    # Of the last characters compared at once, those beyond the substring do not count.
+    masks = np.array([(1 << 64 // step * k) - 1 for k in range(step + 1)], np.uint64)
     while len(rest):
-        inside = k < length[a[rest]]
-        rest = rest[inside]
-        equal = s[a[rest] + k] == s[b[rest] + k]
+        equal = (words[a] ^ words[b]) & masks[np.minimum(left, step)] == 0
         same[rest[~equal]] = False
-        rest = rest[equal]
-        k += 1
+        going = equal & (left > step)
+        rest, a, b, left = rest[going], a[going] + step, b[going] + step, left[going] - step
     names = np.empty(n, np.int32)
     names[ordered] = np.concatenate([[0], np.cumsum(~same)])
     return names[lms]
 
 
 def _by_doubling(s: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes by ``depth`` characters; a round sorts by several ranks at once those that still are alike."""
     rank, k, n = s.astype(np.int64), 1, len(s)
+    alike, slots, order = np.arange(n), np.arange(n), np.empty(n, np.int64)
     while True:
-        after = np.zeros(n, np.int64)
-        after[: n - k] = rank[k:] + 1
-        key = rank * (int(rank.max(initial=0)) + 2) + after
-        order = np.argsort(key)
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        if rank[order[-1]] == n - 1 or 2 * k >= depth:
+        base = int(rank.max(initial=0)) + 2
+        times = max(2, min(62 // base.bit_length(), -(-depth // k)))
+        key = rank[alike]
+        for j in range(1, times):
+            after = alike + j * k
+            inside = after < n
+            key *= base
+            key[inside] += rank[after[inside]] + 1
+        by_key = np.argsort(key)
+        ordered = key[by_key]
+        alike = order[slots] = alike[by_key]
+        # The rank is the first place of those alike.
+        new = np.append(True, ordered[1:] != ordered[:-1])
+        if k == 1:
+            rank = np.empty(n, np.int64)
+        rank[alike] = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        k *= times
+        lone = new & np.append(new[1:], True)
+        alike, slots = alike[~lone], slots[~lone]
+        if not len(alike) or k >= depth:
             return order
-        k *= 2
 
 
 def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndarray:
@@ -129,7 +150,7 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
     """
     n = len(s)
     if sigma <= 1 << 16:
-        s = s.astype(np.uint16)  # numpy sorts these by radix
+        s = s.astype(np.uint8 if sigma <= 1 << 8 else np.uint16)  # numpy sorts these by radix
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
     if sigma > LARGEST_ALPHABET:
@@ -153,23 +174,22 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
 def permuted_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """For each suffix in text order, its common prefix with the one before it in ``sa``, up to ``most``.
 
-    ``data`` holds 16-bit symbols; zero separates strings and matches nothing. Four symbols are compared at once.
+    ``data`` holds symbols of 8 or 16 bits; zero separates strings and matches nothing. Eight bytes are compared at once.
     """
     n = len(data)
     before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([data.astype("<u2"), np.zeros(most + 8, "<u2")])
-    words = np.ndarray(n + most + 4, "<u8", padded.data, strides=(2,))
+    words, step = _words(data, most)
     plcp = np.zeros(n, np.int32)
     rest = np.flatnonzero(before >= 0).astype(np.int32)
     other = before[rest]
-    for k in range(0, most, 4):
+    for k in range(0, most, step):
         differ = words[rest + k] ^ words[other + k]
         equal = differ == 0
         found = differ[~equal]
-        # The lowest bit that differs tells how many of the four symbols agree.
+        # The lowest bit that differs tells how many of the symbols agree.
         lowest = found & (~found + np.uint64(1))
-        plcp[rest[~equal]] = k + np.bitwise_count(lowest - np.uint64(1)) // 16
+        plcp[rest[~equal]] = k + np.bitwise_count(lowest - np.uint64(1)) // (64 // step)
         rest, other = rest[equal], other[equal]
         if not len(rest):
             break

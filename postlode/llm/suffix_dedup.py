@@ -7,12 +7,14 @@ A byte goes if a string of ``MATCH`` bytes that covers it also starts in a docum
    window's bytes alone. Windows in a row with the same smallest hash form a run. The hashes say which shard decides a
    window; hashes that only one document has cannot hold a match and are dropped before any text moves.
 3. The strings of the runs left go to their shards, equal ones of a group once, with their smallest document.
-4. A shard sorts the suffixes of its distinct strings by induced sorting. Permuted common prefixes of ``MATCH`` bytes or
-   more join neighbours to classes, and a class's smallest document goes to all its starts.
+4. A string that is the only one with its hash matches no other. A shard sorts the suffixes of its other distinct strings
+   by induced sorting, about ``SORTED`` symbols at a time; strings of one hash are sorted together. Permuted common
+   prefixes of ``MATCH`` bytes or more join neighbours to classes, and a class's smallest document goes to all its starts.
 5. The groups remove what is covered by windows whose class has a smaller document than their own.
 
 A string that a third of the documents share is one entry per group in its shard. Shards are as many as
-the input's bytes ask for, so none outgrows a task.
+the input's bytes ask for, so none outgrows a task. Between groups and shards goes a row for each pair, so both are
+large; a group's runs are taken in all shards at once, in the order of their hashes.
 
 Edge cases: a null or empty text has no bytes and loses none. Rows that share a doc_id are one document, which does not
 repeat itself. Null ids count as larger than all others and lose nothing to each other. Texts shorter than ``MATCH``
@@ -22,7 +24,6 @@ stay whole. Matches do not cross documents. Strings are judged on the input.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,16 +37,29 @@ from postlode.llm.shared import batches, byte_texts, stored, texts_of
 
 MATCH = 50
 GRAM = 16
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 8 << 20
 SLICE = 1 << 20
-# Of text before any is dropped; what reaches a shard is a fraction of it.
+# Of compressed text before any is dropped; what reaches a shard is a fraction of it.
 SHARD_BYTES = 5 << 20
+SORTED = 1 << 20
 NULL_ID = np.iinfo(np.int64).max
 _MULTIPLIER = 0x9E3779B97F4A7C15
 GROUP = "grp long, ids binary, sizes binary, nulls binary, body binary"
 NAMES = ["grp", "ids", "sizes", "nulls", "body"]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second bytes and so on, which compress better."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _numbers(data: bytes, kind: type, count: int, at: int = 0) -> np.ndarray:
+    """``count`` numbers that ``_planes`` made bytes, from byte ``at`` on."""
+    size = np.dtype(kind).itemsize
+    plain = np.frombuffer(data, np.uint8, size * count, at).reshape(size, count)
+    return np.ascontiguousarray(plain.T).view(kind).reshape(count)
+
+
 def _grouped(documents: DataFrame) -> DataFrame:
     """Rows of documents put together: ids, sizes, and all texts in a row, compressed."""
 
@@ -152,12 +166,14 @@ def _hash_rows(shards: int):
                 shard = (unique >> np.uint64(32)).astype(np.int64)
                 there, cuts = np.unique(shard, return_index=True)
                 keys = unique.astype(np.uint32)
+                steps = np.diff(keys, prepend=np.uint32(0))
+                steps[cuts] = keys[cuts]
                 ends = [*cuts.tolist(), len(keys)]
                 pieces = list(zip(ends[:-1], ends[1:], strict=True))
                 if pieces:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(there, pa.int32()), pa.array([group.number] * len(there)),
-                         pa.array([keys[a:b].tobytes() for a, b in pieces], pa.binary()),
+                         pa.array([_planes(steps[a:b]) for a, b in pieces], pa.binary()),
                          pa.array([np.packbits(several[a:b]).tobytes() for a, b in pieces], pa.binary())],
                         ["shard", "grp", "keys", "several"],
                     )
@@ -168,7 +184,7 @@ def _hash_rows(shards: int):
 def _shared_codes(table: pa.Table) -> pa.Table:
     """Which codes of each group are in several documents, in one shard."""
     rows = table.to_pylist()
-    lists = [np.frombuffer(r["keys"], np.uint32) for r in rows]
+    lists = [np.cumsum(_numbers(r["keys"], np.uint32, len(r["keys"]) // 4), dtype=np.uint32) for r in rows]
     marks = [np.unpackbits(np.frombuffer(r["several"], np.uint8))[: len(k)] for r, k in zip(rows, lists, strict=True)]
     _, where, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     shared = times > 1
@@ -180,22 +196,25 @@ def _shared_codes(table: pa.Table) -> pa.Table:
     )
 
 
-CANDIDATES = "grp long, shard int, sizes binary, docs binary, body binary"
+CANDIDATES = "grp long, shard int, numbers binary, body binary"
 
 
 def _candidates(shards: int):
-    """Strings of runs with shared codes, by shard, and, with a number below zero, where the group's runs are."""
+    """Strings of runs with shared codes, by shard, and, with a number below zero, where the group's runs are.
+
+    A group's strings are in the order of their codes, and with that of their shards.
+    """
 
     def rows_of(group: Group, listed: list[dict]) -> list[tuple]:
         codes, start, count, doc = group.runs(shards)
         unique, where = np.unique(codes, return_inverse=True)
-        shard_of = (unique >> np.uint64(32)).astype(np.int64)
-        shared = np.zeros(len(unique), bool)
-        for item in listed:
-            low, high = np.searchsorted(shard_of, [item["shard"], item["shard"] + 1])
-            shared[low:high] = np.unpackbits(np.frombuffer(item["shared"], np.uint8))[: high - low] == 1
+        _, sizes = np.unique(unique >> np.uint64(32), return_counts=True)
+        bits = [np.frombuffer(item["shared"], np.uint8) for item in sorted(listed, key=lambda item: item["shard"])]
+        shared = np.concatenate([np.unpackbits(b, count=n) for b, n in zip(bits, sizes.tolist(), strict=True)])
         kept = np.flatnonzero(shared[where])
-        start, count, doc, shard = start[kept], count[kept], doc[kept], shard_of[where[kept]]
+        if not len(kept):
+            return []
+        start, count, doc = start[kept], count[kept], doc[kept]
         strings: dict[bytes, int] = {}
         text = group.text
         number = [
@@ -205,67 +224,62 @@ def _candidates(shards: int):
         number = np.array(number, np.int64)
         least = np.full(len(strings), NULL_ID)
         np.minimum.at(least, number, group.ids[doc])
-        # A string's shard is that of its runs; its place is its number among the shard's strings.
-        of_string = np.zeros(len(strings), np.int64)
-        of_string[number] = shard
+        code = np.empty(len(strings), np.uint64)
+        code[number] = codes[kept]
         bodies = list(strings)
-        order = np.argsort(of_string, kind="stable")
-        place = np.empty(len(strings), np.int64)
-        out = []
-        there, cuts = np.unique(of_string[order], return_index=True)
+        strings.clear()
+        order = np.argsort(code, kind="stable")
+        code, least = code[order], least[order]
+        bodies = [bodies[i] for i in order.tolist()]
+        length = np.fromiter(map(len, bodies), np.int32, len(bodies))
+        there, cuts = np.unique(code >> np.uint64(32), return_index=True)
+        # Three bytes tell apart nearly all codes of a shard.
+        key = (code & np.uint64(0xFFFFFFFF)).astype(np.uint32) >> np.uint32(8)
+        steps = np.diff(key, prepend=np.uint32(0))
+        steps[cuts] = key[cuts]
         packer = zstandard.ZstdCompressor(level=1)
-        for k, own in zip(there.tolist(), np.split(order, cuts[1:]), strict=True) if len(order) else ():
-            place[own] = np.arange(len(own))
-            chosen = [bodies[i] for i in own.tolist()]
-            sizes = np.array([len(b) for b in chosen], np.int32)
-            out.append((group.number, k, sizes.tobytes(), least[own].tobytes(), packer.compress(b"".join(chosen))))
-        members = np.stack([start, count, of_string[number], place[number]]).astype(np.int64)
+        out = []
+        for k, a, b in zip(there.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(bodies)], strict=True):
+            numbers = _planes(length[a:b]) + _planes(steps[a:b]) + _planes(least[a:b])
+            out.append((group.number, k, packer.compress(numbers), packer.compress(b"".join(bodies[a:b]))))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         kept_at = -1 - (group.number ^ group.number >> 33) % shards
-        out.append((group.number, kept_at, b"", b"", packer.compress(members.tobytes())))
+        members = _planes(np.diff(start, prepend=0)) + _planes(place[number])
+        out.append((group.number, kept_at, b"", packer.compress(members)))
         return out
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
         for batch in batches(iterator):
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                if not row["listed"]:
-                    continue
-                columns = zip(*rows_of(Group(row), row["listed"]), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["grp", "shard", "sizes", "docs", "body"]
-                )
+                found = rows_of(Group(row), row["listed"]) if row["listed"] else []
+                if found:
+                    columns = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["grp", "shard", "numbers", "body"]
+                    )
 
     return run
 
 
-def _decide_shard(table: pa.Table) -> pa.Table:
-    """For each group's strings, runs of starts with the smallest document that has the 50 bytes there."""
-    if table.column("shard")[0].as_py() < 0:  # not strings but places, which wait for the results
-        return table.select(["grp", "shard", "body"])
-    rows = table.to_pylist()
-    sizes = [np.frombuffer(r["sizes"], np.int32) for r in rows]
-    docs = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
-    strings: dict[bytes, int] = {}
-    number = []
-    for row, size in zip(rows, sizes, strict=True):
-        text = zstandard.ZstdDecompressor().decompress(row["body"], max_output_size=max(1, int(size.sum())))
-        ends = np.cumsum(size).tolist()
-        number += [strings.setdefault(text[a:b], len(strings)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-    number = np.array(number, np.int64)
-    least = np.full(len(strings), NULL_ID)
-    np.minimum.at(least, number, docs)
+def _sorted_runs(bodies: list[bytes], length: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For strings and their smallest documents, runs of starts with the smallest document that has the 50 bytes there.
+
+    Returns the number of runs of each string, and ``lengths, values`` of all runs.
+    """
     # One symbol more than bytes have: zero ends each string.
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    length = np.array([len(s) for s in strings], np.int64)
-    strings.clear()
-    begin = np.cumsum(length + 1) - length - 1
-    symbols = np.zeros(int((length + 1).sum()), np.uint16)
-    symbols[np.arange(len(data)) + np.repeat(np.arange(len(length)), length)] = data.astype(np.uint16) + 1
-    sa = suffix_array(symbols, 257, MATCH)
+    symbols = np.frombuffer(b"\0".join([*bodies, b""]), np.uint8).astype(np.uint16)
+    symbols += np.uint16(1)
+    ends = np.cumsum(length + 1)
+    symbols[ends - 1] = 0
+    most = int(symbols.max())
+    symbols = symbols.astype(np.uint8 if most < 1 << 8 else np.uint16, copy=False)
+    sa = suffix_array(symbols, most + 1, MATCH)
     plcp = permuted_prefixes(symbols, sa, MATCH)
     first = plcp[sa] < MATCH
-    del plcp, symbols, data
+    del plcp, symbols
     of = np.repeat(np.arange(len(length), dtype=np.int32), length + 1)
     first[0] = True
     heads = np.flatnonzero(first)
@@ -275,61 +289,105 @@ def _decide_shard(table: pa.Table) -> pa.Table:
     del sa, first
     # Windows of a string in a row with the same document become one run.
     windows = length - MATCH + 1
+    begin = ends - length - 1
     at = np.arange(int(windows.sum())) + np.repeat(begin - (np.cumsum(windows) - windows), windows)
     values = smallest[at]
     edge = np.append(True, values[1:] != values[:-1])
     edge[np.cumsum(windows)[:-1]] = True
     heads = np.flatnonzero(edge)
-    lengths, values = np.diff(np.append(heads, len(edge))), values[heads]
-    runs_of = np.bincount(of[at[heads]], minlength=len(length))
-    first_of = np.cumsum(runs_of) - runs_of
-    groups, shard, blobs = [], [], []
-    done = 0
-    for row, size in zip(rows, sizes, strict=True):
-        own = number[done : done + len(size)]
-        done += len(size)
+    return np.bincount(of[at[heads]], minlength=len(length)), np.diff(np.append(heads, len(edge))), values[heads]
+
+
+def _decide_shard(table: pa.Table) -> pa.Table:
+    """For each group's strings, runs of starts with the smallest document that has the 50 bytes there."""
+    if table.column("shard")[0].as_py() < 0:  # not strings but places, which wait for the results
+        return table.select(["grp", "shard", "body"])
+    strings: dict[bytes, int] = {}
+    number, keys, docs, sizes = [], [], [], []
+    opener = zstandard.ZstdDecompressor()
+    for packed, body in zip(table.column("numbers"), table.column("body"), strict=True):
+        numbers = opener.decompress(packed.as_py())
+        n = len(numbers) // 16
+        ends = np.cumsum(_numbers(numbers, np.int32, n)).tolist()
+        keys.append(np.cumsum(_numbers(numbers, np.uint32, n, 4 * n), dtype=np.uint32))
+        docs.append(_numbers(numbers, np.int64, n, 8 * n))
+        text = opener.decompress(body.as_py())
+        number.append(np.array(
+            [strings.setdefault(text[a:b], len(strings)) for a, b in zip([0, *ends[:-1]], ends, strict=True)], np.int32))
+        sizes.append(n)
+    number = np.concatenate(number)
+    least = np.full(len(strings), NULL_ID)
+    np.minimum.at(least, number, np.concatenate(docs))
+    key = np.empty(len(strings), np.uint32)
+    key[number] = np.concatenate(keys)
+    del keys, docs
+    bodies = list(strings)
+    strings.clear()
+    length = np.fromiter(map(len, bodies), np.int64, len(bodies))
+    # Equal windows have equal keys, so a string that is alone with its key has one class for each window.
+    order = np.argsort(key, kind="stable")
+    heads = np.flatnonzero(np.append(True, key[order[1:]] != key[order[:-1]]))
+    times = np.diff(np.append(heads, len(order)))
+    alone = np.repeat(times == 1, times)
+    single, order = order[alone], order[~alone]
+    runs, lengths, values = [np.ones(len(single), np.int64)], [length[single] - MATCH + 1], [least[single]]
+    # The others are sorted in parts that no key crosses.
+    heads = np.cumsum(times[times > 1]) - times[times > 1]
+    done = (np.cumsum(length[order] + 1) - length[order] - 1)[heads] // SORTED
+    cuts = heads[np.append(True, done[1:] != done[:-1])] if len(heads) else heads
+    for part in np.split(order, cuts[1:]) if len(order) else ():
+        found = _sorted_runs([bodies[i] for i in part.tolist()], length[part], least[part])
+        for all_, some in zip((runs, lengths, values), found, strict=True):
+            all_.append(some)
+    order = np.concatenate([single, order])
+    runs, lengths, values = np.concatenate(runs), np.concatenate(lengths), np.concatenate(values)
+    runs_of, first_of = np.empty_like(runs), np.empty_like(runs)
+    runs_of[order] = runs
+    first_of[order] = np.cumsum(runs) - runs
+    packer = zstandard.ZstdCompressor(level=1)
+    blobs, done = [], 0
+    for n in sizes:
+        own = number[done : done + n]
+        done += n
         runs = runs_of[own]
         at = np.arange(int(runs.sum())) + np.repeat(first_of[own] - (np.cumsum(runs) - runs), runs)
-        parts = [np.array([len(own)], np.int64), runs, lengths[at], values[at]]
-        blobs.append(zlib.compress(np.concatenate(parts).astype(np.int64).tobytes(), 1))
-        groups.append(row["grp"])
-        shard.append(row["shard"])
-    return pa.table({"grp": pa.array(groups), "shard": pa.array(shard, pa.int32()), "body": pa.array(blobs, pa.binary())})
+        parts = [_planes(runs.astype(np.int32)), _planes(lengths[at].astype(np.int32)), _planes(values[at])]
+        blobs.append(packer.compress(b"".join([np.int64(n).tobytes(), *parts])))
+    return pa.table({"grp": table.column("grp"), "shard": table.column("shard"), "body": pa.array(blobs, pa.binary())})
 
 
 def _spans(group: Group, listed: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends, in the group's text, of the windows' cover; merged and in order."""
     none = np.empty(0, np.int64)
-    members, results = None, {}
-    for item in listed:
-        if item["shard"] < 0:
-            members = np.frombuffer(zstandard.ZstdDecompressor().decompress(item["body"]), np.int64).reshape(4, -1)
-            continue
-        values = np.frombuffer(zlib.decompress(item["body"]), np.int64)
-        n = int(values[0])
-        runs = values[1 : n + 1]
-        total = int(runs.sum())
-        results[item["shard"]] = (np.cumsum(runs) - runs, runs, values[n + 1 : n + 1 + total], values[n + 1 + total :])
-    if members is None or not members.shape[1]:
+    if not listed:
         return none, none
-    starts, ends = [], []
-    doc_of = group.ids[np.searchsorted(group.ends, members[0], side="right")]
-    for shard, (first, runs, lengths, docs) in results.items():
-        there = members[2] == shard
-        start, place, own = members[0][there], members[3][there], doc_of[there]
-        offset = np.cumsum(lengths) - lengths
-        offset = offset - np.repeat(offset[first], runs)  # within the string
-        n = runs[place]
-        at = np.repeat(first[place] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        low = np.repeat(start, n) + offset[at]
-        covered = docs[at] < np.repeat(own, n)
-        starts.append(low[covered])
-        ends.append((low + lengths[at])[covered] + MATCH - 1)
-    start, end = np.concatenate(starts), np.concatenate(ends)
-    order = np.argsort(start, kind="stable")
-    start, end = start[order], np.maximum.accumulate(end[order])
+    opener = zstandard.ZstdDecompressor()
+    # The places come first: their number is below zero. The strings' results are in the order of the places.
+    bodies = [opener.decompress(item["body"]) for item in sorted(listed, key=lambda item: item["shard"])]
+    count = len(bodies[0]) // 12
+    start, place = np.cumsum(_numbers(bodies[0], np.int64, count)), _numbers(bodies[0], np.int32, count, 8 * count)
+    runs, lengths, docs = [], [], []
+    for body in bodies[1:]:
+        n = int(np.frombuffer(body, np.int64, 1)[0])
+        total = (len(body) - 8 - 4 * n) // 12
+        runs.append(_numbers(body, np.int32, n, 8))
+        lengths.append(_numbers(body, np.int32, total, 8 + 4 * n))
+        docs.append(_numbers(body, np.int64, total, 8 + 4 * n + 4 * total))
+    runs, lengths, docs = np.concatenate(runs).astype(np.int64), np.concatenate(lengths).astype(np.int64), np.concatenate(docs)
+    first = np.cumsum(runs) - runs
+    offset = np.cumsum(lengths) - lengths
+    offset = offset - np.repeat(offset[first], runs)  # within the string
+    n = runs[place]
+    at = np.repeat(first[place] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    low = np.repeat(start, n) + offset[at]
+    own = group.ids[np.searchsorted(group.ends, start, side="right")]
+    covered = docs[at] < np.repeat(own, n)
+    start = low[covered]
+    end = start + lengths[at[covered]] + MATCH - 1
     if not len(start):
         return none, none
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
     # Neighbouring documents are cut apart again below; within one, cover that touches is one span.
     new = np.append(True, start[1:] > end[:-1])
     cut = np.append(False, np.searchsorted(group.ends, start[1:], side="right") != np.searchsorted(group.ends, start[:-1], side="right"))
@@ -342,7 +400,7 @@ def _results(documents: DataFrame) -> DataFrame:
     groups = stored(_grouped(documents), "text-groups")
     total = groups.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     width = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(width, 4 * total // SHARD_BYTES)
+    shards = max(width, total // SHARD_BYTES)
     hashes = groups.mapInArrow(_hash_rows(shards), "shard int, grp long, keys binary, several binary")
     shared = hashes.groupBy("shard").applyInArrow(_shared_codes, "grp long, shard int, shared binary")
     by_group = shared.groupBy("grp").agg(F.collect_list(F.struct("shard", "shared")).alias("listed"))

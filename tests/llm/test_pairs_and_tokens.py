@@ -6,9 +6,11 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from llm.helpers import documents, frame, prose, same_rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from postlode.llm import golay, induced_sort, packing, pfor, phrase_index, simhash, suffix_dedup
@@ -337,6 +339,59 @@ class TestSuffixDedup:
     def test_empty_table(self, spark):
         assert suffix_dedup.digests(frame(spark, [])).count() == 0
 
+    @staticmethod
+    def strings(spark, rows: list[tuple], shards: int) -> list[pa.Table]:
+        """What comes to each shard, made in this process."""
+        groups = suffix_dedup._grouped(frame(spark, rows).repartition(3)).toArrow().combine_chunks()
+        found = pa.Table.from_batches(suffix_dedup._hash_rows(shards)(iter(groups.to_batches())))
+        parts = [found.filter(pc.equal(found["shard"], k)) for k in set(found["shard"].to_pylist())]
+        shared = pa.concat_tables([suffix_dedup._shared_codes(p) for p in parts]).to_pylist()
+        marked = [g | {"listed": [x for x in shared if x["grp"] == g["grp"]]} for g in groups.to_pylist()]
+        found = pa.Table.from_batches(suffix_dedup._candidates(shards)(iter([pa.RecordBatch.from_pylist(marked)])))
+        return [found.filter(pc.equal(found["shard"], k)) for k in range(shards)]
+
+    @staticmethod
+    def sorted_sizes(monkeypatch) -> list[int]:
+        sizes = []
+        sort = suffix_dedup.suffix_array
+        monkeypatch.setattr(suffix_dedup, "suffix_array", lambda s, *more: sizes.append(len(s)) or sort(s, *more))
+        return sizes
+
+    def test_strings_that_can_match_no_other_are_not_sorted(self, spark, monkeypatch):
+        sizes = self.sorted_sizes(monkeypatch)
+        rng = np.random.default_rng(1)
+        text = "".join(map(chr, rng.integers(97, 123, 20_000)))
+        for table in self.strings(spark, [(1, text), (2, text), (3, text[5000:])], 2):
+            assert suffix_dedup._decide_shard(table).num_rows == table.num_rows > 1
+        assert sum(sizes) < 2000
+
+    def test_a_shard_is_sorted_in_parts(self, spark, monkeypatch):
+        rows = [*documents(), (700, prose(8, 300)), (701, "zz" + prose(8, 300)[90:]), (None, prose(8, 300)[7:900])]
+        tables = self.strings(spark, rows, 2)
+        whole = [suffix_dedup._decide_shard(t) for t in tables]
+        sizes = self.sorted_sizes(monkeypatch)
+        monkeypatch.setattr(suffix_dedup, "SORTED", 200, raising=False)
+        assert [suffix_dedup._decide_shard(t) for t in tables] == whole
+        assert len(sizes) > 4
+
+    def test_few_rows_go_between_groups_and_shards(self, spark, monkeypatch):
+        rows = [(i, prose(i, 400)) for i in (*range(60), *range(30))]
+        total = suffix_dedup._grouped(frame(spark, rows)).agg(F.sum(F.octet_length("body"))).first()[0]
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", total // (3 * width))
+        # One more for the places of the group's runs.
+        assert max(len(r.listed) for r in suffix_dedup._results(frame(spark, rows)).collect()) <= 4 * width + 1
+
+    @pytest.mark.parametrize("alphabet", [5, 300, 70_000])
+    def test_order_by_ranks(self, alphabet):
+        rng = np.random.default_rng(alphabet)
+        for n, depth in ((1, 1), (2, 5), (400, 400), (3000, 7), (3000, 40)):
+            data = rng.integers(0, alphabet, n).astype(np.int32)
+            data[n // 2 : n // 2 + n // 4] = data[: n // 4]
+            found = induced_sort._by_doubling(data, depth).tolist()
+            keys = [tuple(data[i : i + depth].tolist()) for i in found]
+            assert keys == sorted(keys) and sorted(found) == list(range(n))
+
     @pytest.mark.parametrize(("letters", "depth"), [(2, None), (4, 50), (40, 50), (256, None)])
     def test_hundred_thousand_symbols(self, letters, depth):
         rng = np.random.default_rng(letters)
